@@ -63,7 +63,9 @@ churn_t AS (
 
 
 def with_churn(body: str) -> str:
-    return "WITH " + CHURN_CTES.strip() + ",\n" + body.strip()
+    body = body.strip()
+    sep = "\n" if body[:6].upper() == "SELECT" else ",\n"
+    return "WITH " + CHURN_CTES.strip() + sep + body
 
 
 def union_long(features, value_expr="CAST({c} AS VARCHAR)", extra="churn", source="churn_t"):
