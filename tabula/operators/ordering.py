@@ -81,6 +81,26 @@ def running_max(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     return joined.withColumn(out, F.greatest(local, F.col("__carry"))).drop(_PID, _MID, "__carry")
 
 
+def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
+               values: Sequence[str], suffix: str = "_cum", inclusive: bool = True,
+               num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``values`` within each key group in ``order_by`` order
+    (with ``inclusive=False`` the current row is excluded)."""
+    keys = list(keys)
+    ranged = _ranged(df, keys, order_by, num_partitions)
+    seg = ranged.groupBy(_PID, *keys).agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    w_prev = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.select(_PID, *keys, *[F.coalesce(F.sum(f"__s_{v}").over(w_prev), F.lit(0)).alias(f"__c_{v}")
+                                    for v in values])
+    joined = ranged.join(seg, [_PID, *keys])
+    end = Window.currentRow if inclusive else -1
+    w_local = Window.partitionBy(_PID, *keys).orderBy(_MID).rowsBetween(Window.unboundedPreceding, end)
+    for v in values:
+        joined = joined.withColumn(f"{v}{suffix}", F.coalesce(F.sum(v).over(w_local), F.lit(0)) + F.col(f"__c_{v}"))
+    return joined.drop(_PID, _MID, *[f"__c_{v}" for v in values])
+
+
 def lag_join(df: DataFrame, keys: Sequence[str], idx: str, value: str, lags: Sequence[int],
              prefix: str = "lag") -> DataFrame:
     """Long table ``(keys, idx, lag, value, lagged)`` pairing each row with the
