@@ -51,8 +51,13 @@ class Gram:
                 self.cyy + n * self.my * self.my)
 
 
+def qcol(name: str) -> Column:
+    """Column by exact name (design names hold brackets, dots and colons)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _cols(df: DataFrame, cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c).cast("double") if isinstance(c, str) else c.cast("double") for c in cols]
+    return [qcol(c).cast("double") if isinstance(c, str) else c.cast("double") for c in cols]
 
 
 def gram(df: DataFrame, xcols: Sequence[str | Column], y: str | Column,
@@ -175,7 +180,7 @@ class OLSResult:
             if name == intercept_name:
                 expr = expr + F.lit(float(b))
             else:
-                c = (columns or {}).get(name, F.col(name))
+                c = (columns or {}).get(name, qcol(name))
                 expr = expr + F.lit(float(b)) * c.cast("double")
         return expr
 
@@ -302,7 +307,7 @@ def breusch_pagan(df: DataFrame, fit: OLSResult, xcols: Sequence[str], y: str
                   ) -> tuple[float, float, float, float]:
     """Regress squared residuals on the design: LM = n R2, its chi-square p-value,
     the F statistic and its p-value.  One extra aggregate."""
-    e2 = F.pow(F.col(y).cast("double") - fit.predict(), 2)
+    e2 = F.pow(qcol(y).cast("double") - fit.predict(), 2)
     aux = ols_from_gram(gram(df, xcols, e2))
     k = aux.df_model
     lm = aux.n * aux.r2
@@ -315,14 +320,14 @@ def hc3_cov(df: DataFrame, fit: OLSResult, y: str) -> np.ndarray:
     (X'X)^-1 [sum x x' e^2 / (1 - h)^2] (X'X)^-1 with leverage h = x'(X'X)^-1 x
     evaluated per row as a column expression; one aggregate."""
     names = fit.names
-    xs = [F.lit(1.0) if n == "Intercept" else F.col(n).cast("double") for n in names]
+    xs = [F.lit(1.0) if n == "Intercept" else qcol(n).cast("double") for n in names]
     bread = fit.cov / fit.sigma2
     h = F.lit(0.0)
     for i in range(len(xs)):
         for j in range(len(xs)):
             if bread[i, j] != 0:
                 h = h + F.lit(float(bread[i, j])) * xs[i] * xs[j]
-    e = F.col(y).cast("double") - fit.predict()
+    e = qcol(y).cast("double") - fit.predict()
     wgt = (e * e) / F.pow(1 - h, 2)
     k = len(xs)
     r = df.agg(*[F.sum(wgt * xs[i] * xs[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
