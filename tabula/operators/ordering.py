@@ -58,7 +58,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
     keys = list(keys)
     ranged = _ranged(df, keys, order_by, num_partitions)
     seg = ranged.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
-    w = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
     joined = ranged.join(seg.select(_PID, *keys, "__first", "__off"), [_PID, *keys])
     return joined.withColumn(out, (F.col(_MID) - F.col("__first") + F.col("__off")).cast("bigint")) \
@@ -72,7 +72,8 @@ def running_max(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     keys = list(keys)
     ranged = _ranged(df, keys, order_by, num_partitions)
     seg = ranged.groupBy(_PID, *keys).agg(F.max(value).alias("__pmax"))
-    w_prev = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    w_prev = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID) \
+        .rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("__carry", F.max("__pmax").over(w_prev)).drop("__pmax")
     joined = ranged.join(seg, [_PID, *keys])
     w_local = (Window.partitionBy(_PID, *keys).orderBy(_MID)
