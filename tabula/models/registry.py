@@ -113,6 +113,8 @@ APPROXIMATIONS = {
                                  "growth have no Spark knob",
     "SAMME.R": "treated as SAMME (discrete boosting)",
     "ridge solver": "ignored: the exact Gram solve is used",
+    "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
+    "svm kernels": "rbf by 100 random Fourier features, poly by explicit polynomial expansion, then a linear fit",
 }
 
 
@@ -205,6 +207,25 @@ def _ada_c(p, n):
     return AdaBoostClassifier(nEstimators=int(p["n_estimators"]), learningRate=float(p["learning_rate"]))
 
 
+def _ada_r(p, n):
+    from tabula.models.boosting import AdaBoostRegressor
+    return AdaBoostRegressor(nEstimators=int(p["n_estimators"]), learningRate=float(p["learning_rate"]),
+                             loss=str(p["loss"]))
+
+
+def _svr(p, n):
+    from tabula.models.estimators import LinearSVR
+    from tabula.models.kernels import RandomFourierFeatures
+    kw = dict(C=float(p["C"]), epsilon=float(p["epsilon"]), maxIter=int(p["max_iter"]), tol=float(p["tol"]))
+    if p["kernel"] == "linear":
+        return LinearSVR(**kw)
+    if p["kernel"] == "rbf":
+        mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]))
+    else:
+        mapper = PolynomialExpansion(inputCol="features", outputCol="__kfeat", degree=int(p["degree"]))
+    return Pipeline(stages=[mapper, LinearSVR(featuresCol="__kfeat", **kw)])
+
+
 def _knn(task):
     def b(p, n):
         from tabula.models.knn import KNNEstimator
@@ -261,6 +282,8 @@ _add("random_forest_regressor", "regression", N_EST + TREE + FEATS + REG_CRIT,
 _add("extra_trees_regressor", "regression", N_EST + TREE + FEATS + REG_CRIT,
      _rf(RandomForestRegressor, _reg_impurity, False), ["extra_trees", "criterion=absolute_error"])
 _add("knn_regressor", "regression", KNN, _knn("regression"))
+_add("adaboost_regressor", "regression", ADA_R, _ada_r)
+_add("svr", "regression", [*SVM[:2], P("epsilon", "float", 1e-3, 1.0, log=True), *SVM[2:]], _svr, ["svr loss"])
 _add("gradient_boosting_regressor", "regression",
      N_EST + BOOST + [P("loss", "cat", choices=("squared_error", "absolute_error", "huber"))],
      _gbt(GBTRegressor, regression=True), ["min_samples_split"])
