@@ -53,41 +53,56 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         passes = 0
         while pending and passes < max_passes:
             passes += 1
-            targets = list(pending.items())
+            # targets on the same column and interval share one histogram
+            groups: dict[tuple, list] = {}
+            for key, (lo, hi, below) in pending.items():
+                groups.setdefault((key[0], lo, hi, below), []).append(key)
+            ivals = list(groups)
             entries = []
-            for tid, ((c, _k), (lo, hi, _b)) in enumerate(targets):
+            for gid, (c, lo, hi, _b) in enumerate(ivals):
                 x = F.col(c)
                 inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
                 b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * buckets), F.lit(buckets - 1))
-                entries.append(F.when(inside, F.struct(F.lit(tid).alias("t"), b.cast("int").alias("b"),
+                entries.append(F.when(inside, F.struct(F.lit(gid).alias("t"), b.cast("int").alias("b"),
                                                        x.alias("x"))))
             hist = (data.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
                     .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
                     .agg(F.count(F.lit(1)).alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-                    .collect())  # at most targets x buckets rows
+                    .collect())  # at most intervals x buckets rows
             by_t: dict[int, list] = {}
             for r in hist:
                 by_t.setdefault(r["t"], []).append(r)
             gathers = []
-            for tid, (key, (lo, hi, below)) in enumerate(targets):
-                rows = sorted(by_t.get(tid, []), key=lambda r: r["b"])
-                cum = below
-                for r in rows:
-                    if cum + r["n"] > key[1]:
-                        if r["mn"] == r["mx"]:
-                            resolved[key] = r["mn"]
-                            del pending[key]
-                        elif r["n"] <= gather_limit:
-                            gathers.append((key, r["mn"], r["mx"], cum))
-                        else:
-                            pending[key] = [r["mn"], r["mx"], cum]
-                        break
-                    cum += r["n"]
-            for key, lo, hi, below in gathers:
-                c = key[0]
-                vals = sorted(v[0] for v in data.where((F.col(c) >= lo) & (F.col(c) <= hi)).select(c).collect())
-                resolved[key] = vals[key[1] - below]
-                del pending[key]
+            for gid, (c, lo, hi, below) in enumerate(ivals):
+                rows = sorted(by_t.get(gid, []), key=lambda r: r["b"])
+                for key in groups[(c, lo, hi, below)]:
+                    cum = below
+                    for r in rows:
+                        if cum + r["n"] > key[1]:
+                            if r["mn"] == r["mx"]:
+                                resolved[key] = r["mn"]
+                                del pending[key]
+                            elif r["n"] <= gather_limit:
+                                gathers.append((key, r["mn"], r["mx"], cum))
+                            else:
+                                pending[key] = [r["mn"], r["mx"], cum]
+                            break
+                        cum += r["n"]
+            if gathers:
+                # one job fetches every small final set (each at most gather_limit values)
+                spans = sorted({(key[0], lo, hi) for key, lo, hi, _ in gathers})
+                parts = [F.when((F.col(c) >= lo) & (F.col(c) <= hi),
+                                F.struct(F.lit(i).alias("s"), F.col(c).alias("x"))) for i, (c, lo, hi) in enumerate(spans)]
+                got = data.select(F.explode(F.filter(F.array(*parts), lambda e: e.isNotNull())).alias("e")) \
+                    .select("e.s", "e.x").collect()
+                vals: dict[int, list] = {}
+                for r in got:
+                    vals.setdefault(r["s"], []).append(r["x"])
+                index = {sp: i for i, sp in enumerate(spans)}
+                for key, lo, hi, below in gathers:
+                    v = sorted(vals[index[(key[0], lo, hi)]])
+                    resolved[key] = v[key[1] - below]
+                    del pending[key]
         if pending:
             raise RuntimeError(f"quantile search did not converge for {sorted(pending)}")
         out = []
