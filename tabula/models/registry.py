@@ -108,9 +108,10 @@ APPROXIMATIONS = {
     "splitter=random": "no Spark knob; trees always search the binned thresholds",
     "criterion=absolute_error": "refused for trees and boosting (no Spark impurity)",
     "extra_trees": "random forest without bootstrap; split thresholds are not randomised",
-    "xgboost/lightgbm/catboost": "mapped to Spark gradient-boosted trees: rounds, step, depth, subsample, "
-                                 "column share, bins; L1/L2 leaf penalties, gamma and leaf-wise or symmetric "
-                                 "growth have no Spark knob",
+    "xgboost/lightgbm/catboost": "own histogram booster (models/histboost.py): depth-wise, leaf-budget "
+                                 "(level-synchronous, not strictly best-first) and symmetric growth; "
+                                 "min_child_samples is read as min child hessian; bagging_temperature and "
+                                 "random_strength are not used",
     "SAMME.R": "treated as SAMME (discrete boosting)",
     "ridge solver": "ignored: the exact Gram solve is used",
     "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
@@ -207,6 +208,25 @@ def _ada_c(p, n):
     return AdaBoostClassifier(nEstimators=int(p["n_estimators"]), learningRate=float(p["learning_rate"]))
 
 
+def _hist(growth, regression=False):
+    def b(p, n):
+        from tabula.models.histboost import HistBoost
+        return HistBoost(
+            objective="squared" if regression else "binary",
+            nEstimators=int(p.get("n_estimators", p.get("iterations", 100))),
+            learningRate=float(p["learning_rate"]),
+            maxDepth=int(p.get("max_depth", p.get("depth", 6))),
+            minChildWeight=float(p.get("min_child_weight", 1.0)),
+            regLambda=float(p.get("reg_lambda", p.get("l2_leaf_reg", 1.0))),
+            regAlpha=float(p.get("reg_alpha", 0.0)),
+            gamma=float(p.get("gamma", 0.0)),
+            subsample=float(p.get("subsample", 1.0)),
+            colsample=float(p.get("colsample_bytree", 1.0)),
+            maxBins=int(p.get("border_count", 64)),
+            growth=growth, numLeaves=int(p.get("num_leaves", 31)), seed=42)
+    return b
+
+
 def _ada_r(p, n):
     from tabula.models.boosting import AdaBoostRegressor
     return AdaBoostRegressor(nEstimators=int(p["n_estimators"]), learningRate=float(p["learning_rate"]),
@@ -257,9 +277,9 @@ _add("knn_classifier", "classification", KNN, _knn("classification"))
 _add("svc", "classification", SVM, _svm_c)
 _add("gradient_boosting_classifier", "classification", N_EST + BOOST, _gbt(GBTClassifier),
      ["min_samples_split"])
-_add("xgboost_classifier", "classification", XGB, _gbt(GBTClassifier), ["xgboost/lightgbm/catboost"])
-_add("lightgbm_classifier", "classification", LGBM, _gbt(GBTClassifier), ["xgboost/lightgbm/catboost"])
-_add("catboost_classifier", "classification", CATB, _gbt(GBTClassifier), ["xgboost/lightgbm/catboost"])
+_add("xgboost_classifier", "classification", XGB, _hist("depthwise"), ["xgboost/lightgbm/catboost"])
+_add("lightgbm_classifier", "classification", LGBM, _hist("lossguide"), ["xgboost/lightgbm/catboost"])
+_add("catboost_classifier", "classification", CATB, _hist("symmetric"), ["xgboost/lightgbm/catboost"])
 # regression
 _add("linear_regression", "regression", [P("fit_intercept", "cat", choices=(True, False))],
      lambda p, n: LinearRegression(fitIntercept=bool(p["fit_intercept"]), regParam=0.0, solver="normal"))
@@ -287,9 +307,9 @@ _add("svr", "regression", [*SVM[:2], P("epsilon", "float", 1e-3, 1.0, log=True),
 _add("gradient_boosting_regressor", "regression",
      N_EST + BOOST + [P("loss", "cat", choices=("squared_error", "absolute_error", "huber"))],
      _gbt(GBTRegressor, regression=True), ["min_samples_split"])
-_add("xgboost_regressor", "regression", XGB, _gbt(GBTRegressor, True), ["xgboost/lightgbm/catboost"])
-_add("lightgbm_regressor", "regression", LGBM, _gbt(GBTRegressor, True), ["xgboost/lightgbm/catboost"])
-_add("catboost_regressor", "regression", CATB, _gbt(GBTRegressor, True), ["xgboost/lightgbm/catboost"])
+_add("xgboost_regressor", "regression", XGB, _hist("depthwise", True), ["xgboost/lightgbm/catboost"])
+_add("lightgbm_regressor", "regression", LGBM, _hist("lossguide", True), ["xgboost/lightgbm/catboost"])
+_add("catboost_regressor", "regression", CATB, _hist("symmetric", True), ["xgboost/lightgbm/catboost"])
 
 
 def multiclass(estimator, n_classes: int):
