@@ -12,8 +12,7 @@ from typing import Callable
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -311,9 +310,3 @@ _add("xgboost_regressor", "regression", XGB, _hist("depthwise", True), ["xgboost
 _add("lightgbm_regressor", "regression", LGBM, _hist("lossguide", True), ["xgboost/lightgbm/catboost"])
 _add("catboost_regressor", "regression", CATB, _hist("symmetric", True), ["xgboost/lightgbm/catboost"])
 
-
-def multiclass(estimator, n_classes: int):
-    """Wrap binary-only estimators (linear SVM) one-vs-rest when needed."""
-    if n_classes > 2 and isinstance(estimator, ScaledC) and estimator.getOrDefault(estimator.model) == "svm":
-        return OneVsRest(classifier=estimator)
-    return estimator
