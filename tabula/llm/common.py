@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,22 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+CHUNK_BYTES = 24 << 20  # text handled at once inside a task
+
+
+def text_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
+    """Consecutive slices of about ``limit`` bytes; at least one, if empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    row = 0
+    while True:
+        base = int(ends[row - 1]) if row else 0
+        end = max(row + 1, int(np.searchsorted(ends, base + limit, "right")))
+        yield text.slice(row, end - row)
+        row = end
+        if row >= len(text):
+            return
+
+
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
              make: Callable[[], Callable[[pa.Array], dict]], keep: Sequence[str] | None = None,
              only: str | None = None) -> DataFrame:
@@ -61,11 +79,14 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            got = fn(batch.column("t"))
-            new = [a if isinstance(a, (pa.Array, pa.ChunkedArray)) else pa.array(a)
-                   for a in (got[f.name] for f in fields)]
-            out = pa.RecordBatch.from_arrays([batch.column(s) for s in slots] + new, names=slots + outs)
-            yield out if only is None else out.filter(pa.array(got[only]))
+            done = 0
+            for text in text_chunks(batch.column("t")):
+                got = fn(text)
+                new = [a if isinstance(a, pa.Array) else pa.array(a) for a in (got[f.name] for f in fields)]
+                old = [batch.column(s).slice(done, len(text)) for s in slots]
+                out = pa.RecordBatch.from_arrays(old + new, names=slots + outs)
+                done += len(text)
+                yield out if only is None else out.filter(pa.array(got[only]))
 
     mapped = source.mapInArrow(run, schema)
     return mapped.select(*[F.col(s).alias(c) for c, s in zip(kept, slots, strict=True)],

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabula.llm import bpe_count, packing, radix_dedup
+from tabula.llm import bloom_lm, bpe_count, jaccard_join, packing, radix_dedup
 from tabula.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -15,15 +15,23 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op2_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op3_exact_dedup, op8_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_bloom_lm, op3_exact_dedup, op7_jaccard_join, op8_token_counts)}
 
 # fixed value: DuckDB's RE2 pattern of the removed characters
 _BLANK = r"[\x20\x09-\x0D]+"
