@@ -55,7 +55,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.monotonically_increasing_id().alias("sub"))
         groups = stored(groups, f"radix-groups{level}")
         is_open = F.col("n").isNotNull() & (F.col("n_bytes") > offset + width)
-        rows = headed.join(groups, key, "left").select(
+        # always a sort-merge join: the number of groups follows the data, and a hot
+        # group can then be split
+        rows = headed.join(groups.hint("merge"), key, "left").select(
             "doc_id", "chars", "n_bytes", "sha", "n", "keep_id", "keep_chars", "sub", is_open.alias("open"),
             F.when(is_open, F.col("body")).alias("body"), F.monotonically_increasing_id().alias("rid"))
         rows = stored(rows, f"radix-rows{level}")
