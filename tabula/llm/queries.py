@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabula.llm import bloom_lm, bpe_count, jaccard_join, packing, radix_dedup
+from tabula.llm import (bloom_lm, bpe_count, decontam, jaccard_join, lang_id, licenses, ordinal, packing,
+                        radix_dedup, warc)
 from tabula.llm.common import read_table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -23,6 +25,25 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup.exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # pages carry no capture time; the id, in seconds, stands for it
+    pages = read_table(spark, sf_dir, "pages").withColumn("captured", F.col("page_id").cast("timestamp"))
+    return warc.capture_index(pages, time_col="captured") \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the ids of the test items found in it and the longest overlap."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.mark_overlaps(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", (F.size("spans") > 0).alias("contaminated"), F.col("spans.item_id").alias("item_ids"),
+                        F.coalesce(F.array_max("spans.words"), F.lit(0)).alias("longest_overlap"), "spans")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"), width=4, percent=85)
 
@@ -31,7 +52,19 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_bloom_lm, op3_exact_dedup, op7_jaccard_join, op8_token_counts)}
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its expected grade (0 toxic, 1 poor, 2 good) and the decision."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = read_table(spark, sf_dir, "labels").withColumn("grade", ordinal.document_grade())
+    return ordinal.grade_texts(docs, ordinal.fit_on_labels(docs, ratings), keep=["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_pack, op2_bloom_lm, op3_exact_dedup, op4_warc, op5_decontaminate, op6_language_id,
+                                op7_jaccard_join, op8_token_counts, op9_license_scan, op10_quality)}
 
 # fixed value: DuckDB's RE2 pattern of the removed characters
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -44,4 +77,13 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
                   first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(t) DESC, doc_id) AS keep_id,
                   count(*) OVER (PARTITION BY norm) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r""",
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     m AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+                  max(page_id) OVER (PARTITION BY body) AS newest FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN newest END AS refers_to
+FROM m""",
+    "op9_license_scan": licenses.scan_sql(),
 }
