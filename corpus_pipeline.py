@@ -16,8 +16,7 @@ from tabula.llm.common import read_table, stored
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the top grade is one half or more stay."""
     ratings = read_table(spark, sf_dir, "labels").withColumn("grade", ordinal.document_grade())
-    graded = ordinal.grade_texts(docs, ordinal.fit_on_labels(docs, ratings), only_kept=True)
-    return graded.select(*docs.columns)
+    return ordinal.grade_texts(docs, ordinal.fit_on_labels(docs, ratings), only_kept=True)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,13 +59,14 @@ def text_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
 
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
              make: Callable[[], Callable[[pa.Array], dict]], keep: Sequence[str] | None = None,
-             only: str | None = None) -> DataFrame:
+             only: str | None = None, bare: bool = False) -> DataFrame:
     """Append columns computed from the text, one Arrow batch at a time.
 
     ``make()`` runs once per task and returns ``fn(text) -> {field: array}``.
     ``keep`` names the input columns of the result (default: all of them).
     With ``only`` (a boolean field of the result) rows where it is false are
-    dropped before they leave the task.  Rows are never joined back, so null
+    dropped before they leave the task; with ``bare`` the fields themselves are left
+    out of the result.  Rows are never joined back, so null
     or repeated ids and clashing extra columns pass through unchanged."""
     kept = list(df.columns if keep is None else keep)
     fields = list(fields)
@@ -90,7 +91,7 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
 
     mapped = source.mapInArrow(run, schema)
     return mapped.select(*[F.col(s).alias(c) for c, s in zip(kept, slots, strict=True)],
-                         *[F.col(o).alias(f.name) for o, f in zip(outs, fields, strict=True)])
+                         *[F.col(o).alias(f.name) for o, f in zip(outs, fields, strict=True) if not bare])
 
 
 def crc32_of(col: str) -> Column:

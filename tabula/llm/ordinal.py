@@ -157,7 +157,8 @@ def grade_texts(docs: DataFrame, model: OrdinalModel | None, n_grades: int = 3,
     """``docs`` with ``expected_grade``, ``p_at_least_1`` .. and ``keep``.
 
     ``keep`` is true where P(grade >= ``select_from``) (default: the top grade) is
-    ``at_least`` or more; ``only_kept`` returns only those rows.  Null and empty
+    ``at_least`` or more; ``only_kept`` returns only those rows, with their own
+    columns alone (which may have any names).  Null and empty
     texts are graded as texts without words.  Without a model every text has the top grade.
     Rows, ids and other columns pass through."""
     top = n_grades - 1 if select_from is None else select_from
@@ -174,4 +175,4 @@ def grade_texts(docs: DataFrame, model: OrdinalModel | None, n_grades: int = 3,
 
         return fn
 
-    return map_text(docs, text_col, fields, make, keep=keep, only="keep" if only_kept else None)
+    return map_text(docs, text_col, fields, make, keep=keep, only="keep" if only_kept else None, bare=only_kept)
