@@ -30,6 +30,16 @@ def _ordered(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which a null key equals a null key; the keys of
+    ``left`` stay."""
+    renamed = right.select(*[F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def _ranged(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
             num_partitions: int | None = None) -> DataFrame:
     """Range-partition, sort within partitions and tag rows with (partition, id).
@@ -60,7 +70,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
     seg = ranged.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("__n"), F.min(_MID).alias("__first"))
     w = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    joined = ranged.join(seg.select(_PID, *keys, "__first", "__off"), [_PID, *keys])
+    joined = null_safe_join(ranged, seg.select(_PID, *keys, "__first", "__off"), [_PID, *keys])
     return joined.withColumn(out, (F.col(_MID) - F.col("__first") + F.col("__off")).cast("bigint")) \
         .drop(_PID, _MID, "__first", "__off")
 
@@ -75,7 +85,7 @@ def running_max(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     w_prev = (Window.partitionBy(*keys) if keys else Window).orderBy(_PID) \
         .rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("__carry", F.max("__pmax").over(w_prev)).drop("__pmax")
-    joined = ranged.join(seg, [_PID, *keys])
+    joined = null_safe_join(ranged, seg, [_PID, *keys])
     w_local = (Window.partitionBy(_PID, *keys).orderBy(_MID)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = F.max(value).over(w_local)
@@ -94,7 +104,7 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
         .rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(_PID, *keys, *[F.coalesce(F.sum(f"__s_{v}").over(w_prev), F.lit(0)).alias(f"__c_{v}")
                                     for v in values])
-    joined = ranged.join(seg, [_PID, *keys])
+    joined = null_safe_join(ranged, seg, [_PID, *keys])
     end = Window.currentRow if inclusive else -1
     w_local = Window.partitionBy(_PID, *keys).orderBy(_MID).rowsBetween(Window.unboundedPreceding, end)
     for v in values:
@@ -114,7 +124,7 @@ def lag_join(df: DataFrame, keys: Sequence[str], idx: str, value: str, lags: Seq
         .withColumn("__src", F.col(idx) - F.col("lag"))
     right = df.select(*[F.col(k) for k in keys], F.col(idx).alias("__src"),
                       F.col(value).alias(f"{prefix}_value"))
-    return left.join(right, [*keys, "__src"]).drop("__src")
+    return null_safe_join(left, right, [*keys, "__src"]).drop("__src")
 
 
 def first_difference(df: DataFrame, keys: Sequence[str], idx: str, value: str,
@@ -122,7 +132,7 @@ def first_difference(df: DataFrame, keys: Sequence[str], idx: str, value: str,
     """``value - previous value`` within each key group (null for the first row)."""
     keys = list(keys)
     prev = df.select(*keys, (F.col(idx) + 1).alias(idx), F.col(value).alias("__prev"))
-    return df.join(prev, [*keys, idx], "left").withColumn(
+    return null_safe_join(df, prev, [*keys, idx], "left").withColumn(
         out, F.col(value) - F.col("__prev")).drop("__prev")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions import distributions as D
-from tabula.operators.ordering import lag_join, row_index
+from tabula.operators.ordering import lag_join, null_safe_join, row_index
 
 
 def indexed(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -43,11 +43,11 @@ def acf(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, nl
     keys = list(keys)
     s = df if is_indexed else indexed(df, keys, order, value)
     m = s.groupBy(*keys).agg(F.avg(value).alias("__m"), F.count(F.lit(1)).alias("__n"))
-    z = s.join(m, keys).select(*keys, "idx", (F.col(value) - F.col("__m")).alias("z"))
+    z = null_safe_join(s, m, keys).select(*keys, "idx", (F.col(value) - F.col("__m")).alias("z"))
     den = z.groupBy(*keys).agg(F.sum(F.col("z") * F.col("z")).alias("__ss"))
     pairs = lag_join(z, keys, "idx", "z", range(1, nlags + 1), prefix="lag")
     num = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("z") * F.col("lag_value")).alias("__num"))
-    return num.join(den, keys).select(*keys, "lag", (F.col("__num") / F.col("__ss")).alias("acf"))
+    return null_safe_join(num, den, keys).select(*keys, "lag", F.try_divide("__num", "__ss").alias("acf"))
 
 
 def durbin_levinson(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,17 +87,18 @@ def pacf(acf_table: DataFrame, keys: Sequence[str]) -> DataFrame:
 def arima111(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, steps: int = 5,
              long_ar: int = 6) -> DataFrame:
     """Per key: ``phi, theta, sigma2, n`` and forecasts ``f1..f{steps}`` of the
-    original series (ARIMA(1,1,1), no constant)."""
+    original series (ARIMA(1,1,1), no constant).  Every series gives a row: one too
+    short or too flat to estimate has nulls and says so in ``reason``."""
     keys = list(keys)
     x = indexed(df, keys, order, value)
     prev = x.select(*keys, (F.col("idx") + 1).alias("idx"), F.col(value).alias("__prev"))
-    d = x.join(prev, [*keys, "idx"]).select(*keys, "idx", (F.col(value) - F.col("__prev")).alias("d"))
+    d = null_safe_join(x, prev, [*keys, "idx"]).select(*keys, "idx", (F.col(value) - F.col("__prev")).alias("d"))
     # step 1: long AR(m) on the differences (Yule-Walker from the ACF about zero mean)
     dd = d.select(*keys, "idx", "d")
     ss = dd.groupBy(*keys).agg(F.sum(F.col("d") * F.col("d")).alias("__ss"), F.count(F.lit(1)).alias("n"))
     lp = lag_join(dd, keys, "idx", "d", range(1, long_ar + 1), prefix="lag")
-    r = lp.groupBy(*keys, "lag").agg(F.sum(F.col("d") * F.col("lag_value")).alias("__num")) \
-        .join(ss, keys).select(*keys, "lag", (F.col("__num") / F.col("__ss")).alias("acf"))
+    r = lp.groupBy(*keys, "lag").agg(F.sum(F.col("d") * F.col("lag_value")).alias("__num"))
+    r = null_safe_join(r, ss, keys).select(*keys, "lag", F.try_divide("__num", "__ss").alias("acf"))
     coef_schema = T.StructType([r.schema[k] for k in keys] +
                                [T.StructField("lag", T.IntegerType()), T.StructField("a", T.DoubleType())])
 
@@ -110,28 +111,30 @@ def arima111(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
         return out
 
     a = r.groupBy(*keys).applyInPandas(ar_coef, coef_schema)
-    fitted = lp.join(a, [*keys, "lag"]).groupBy(*keys, "idx").agg(
+    fitted = null_safe_join(lp, a, [*keys, "lag"]).groupBy(*keys, "idx").agg(
         F.first("d").alias("d"), F.sum(F.col("a") * F.col("lag_value")).alias("__fit"),
         F.count(F.lit(1)).alias("__m"))
     e = fitted.where(F.col("__m") == long_ar).select(*keys, "idx", (F.col("d") - F.col("__fit")).alias("e"))
     # step 2: d_t on d_{t-1} and e_{t-1}
     d1 = d.select(*keys, (F.col("idx") + 1).alias("idx"), F.col("d").alias("d1"))
     e1 = e.select(*keys, (F.col("idx") + 1).alias("idx"), F.col("e").alias("e1"))
-    reg = d.join(d1, [*keys, "idx"]).join(e1, [*keys, "idx"])
+    reg = null_safe_join(null_safe_join(d, d1, [*keys, "idx"]), e1, [*keys, "idx"])
     g = reg.groupBy(*keys).agg(
         F.sum(F.col("d1") * F.col("d1")).alias("s11"), F.sum(F.col("d1") * F.col("e1")).alias("s12"),
         F.sum(F.col("e1") * F.col("e1")).alias("s22"), F.sum(F.col("d1") * F.col("d")).alias("s1y"),
         F.sum(F.col("e1") * F.col("d")).alias("s2y"), F.count(F.lit(1)).alias("m"))
     det = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
-    g = g.select(*keys, "m", ((F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y")) / det).alias("phi"),
-                 ((F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y")) / det).alias("theta"))
-    res = reg.join(g, keys).select(
+    g = g.select(*keys, "m", F.try_divide(F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y"), det).alias("phi"),
+                 F.try_divide(F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y"), det).alias("theta"))
+    res = null_safe_join(reg, g, keys).select(
         *keys, "idx", (F.col("d") - F.col("phi") * F.col("d1") - F.col("theta") * F.col("e1")).alias("eps"))
     sig = res.groupBy(*keys).agg(F.avg(F.col("eps") * F.col("eps")).alias("sigma2"),
                                  F.max_by("eps", "idx").alias("eps_T"), F.max("idx").alias("__t"))
     last = x.groupBy(*keys).agg(F.max_by(value, "idx").alias("x_T"), F.count(F.lit(1)).alias("n"))
     last_d = d.groupBy(*keys).agg(F.max_by("d", "idx").alias("d_T"))
-    out = g.join(sig, keys).join(last, keys).join(last_d, keys)
+    out = last
+    for part in (last_d, g, sig):
+        out = null_safe_join(out, part, keys, "left")
     step = F.col("phi") * F.col("d_T") + F.col("theta") * F.col("eps_T")
     level = F.col("x_T") + step
     cols = [level.alias("f1")]
@@ -139,15 +142,12 @@ def arima111(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
         step = F.col("phi") * step
         level = level + step
         cols.append(level.alias(f"f{h}"))
-    return out.select(*keys, "phi", "theta", "sigma2", "n", *cols)
+    reason = F.when(F.col("phi").isNull() | F.isnan("phi"), F.lit("too short or too flat to estimate"))
+    return out.select(*keys, "phi", "theta", "sigma2", "n", *cols, reason.alias("reason"))
 
 
 # ---------------------------------------------------------------- Shapiro-Wilk
 
-def _ppf_vec(p: np.ndarray) -> np.ndarray:
-    return np.array([D.norm_ppf(float(v)) for v in p])
-
-
 def shapiro_wilk(df: DataFrame, value: str) -> tuple[float, float, int]:
     """W statistic and p-value (Royston's approximation, 1995).
 
@@ -163,9 +163,9 @@ def shapiro_wilk(df: DataFrame, value: str) -> tuple[float, float, int]:
 
     @F.pandas_udf(T.DoubleType())
     def mscore(i: pd.Series) -> pd.Series:
-        return pd.Series(_ppf_vec(((i.to_numpy(dtype=float) + 1) - 0.375) / (n + 0.25)))
+        return pd.Series(D.norm_ppf_array(((i.to_numpy(dtype=float) + 1) - 0.375) / (n + 0.25)))
 
-    s = s.withColumn("m", mscore(F.col("i")))
+    s = s.withColumn("m", mscore(F.col("i"))).persist()  # read by two aggregates
     agg = s.agg(F.sum(F.col("m") * F.col("m")).alias("mm"), F.avg("x").alias("mean")).first()
     mm, mean = agg["mm"], agg["mean"]
     # fixed values: polynomial coefficients of the published approximation
@@ -188,6 +188,7 @@ def shapiro_wilk(df: DataFrame, value: str) -> tuple[float, float, int]:
         coef = F.when(F.col("i") == i, F.lit(v)).otherwise(coef)
     r = s.agg(F.sum(coef * F.col("x")).alias("num"),
               F.sum(F.pow(F.col("x") - F.lit(mean), 2)).alias("den")).first()
+    s.unpersist()
     w = min(r["num"] ** 2 / r["den"], 1.0) if r["den"] > 0 else 1.0
     if n == 3:
         p = max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))

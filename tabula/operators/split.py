@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabula.operators.ordering import row_index
+from tabula.operators.ordering import null_safe_join, row_index
 
 
 def hash_bucket(key: str | Column, seed: int | str = 42, buckets: int = 100) -> Column:
@@ -59,7 +59,7 @@ def kfold(df: DataFrame, key: str, k: int = 5, label: str | None = None,
     indexed = row_index(df, groups, order, out="__idx")
     if groups:
         sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
-        joined = indexed.join(sizes, groups)  # one row per class; Spark's size check broadcasts it
+        joined = null_safe_join(indexed, sizes, groups)  # one row per class, a null label being one
     else:
         joined = indexed.withColumn("__n", F.lit(df.count()))
     return joined.withColumn(out, _ntile(F.col("__idx"), F.col("__n"), k)).drop("__idx", "__n")

@@ -167,24 +167,17 @@ def residual_table(spark, sf_dir):
     return round_doubles(ME.residuals(df, "l_extendedprice", "pred", keep=["l_orderkey", "l_linenumber"]), 6)
 
 
-_SAMPLE_BUCKETS = 1000
-
-
 @register("predicted_vs_actual", f"""
 SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) AS actual, round({_REG_PRED}, 6) AS predicted,
        round(least(min(l_extendedprice) OVER (), min({_REG_PRED}) OVER ()), 6) AS lower,
        round(greatest(max(l_extendedprice) OVER (), max({_REG_PRED}) OVER ()), 6) AS upper
-FROM lineitem QUALIFY CAST(('0x' || substr(md5(concat(CAST(l_orderkey * 8 + l_linenumber AS VARCHAR), ':42')), 1, 8))
-                   AS BIGINT) % {_SAMPLE_BUCKETS} < 10""")
+FROM lineitem""")
 def predicted_vs_actual(spark, sf_dir):
-    """Plot data for predicted v actual: a deterministic 1% hash sample of the
-    line items (the sample is the feature) with the common axis limits of the
-    whole table (A12)."""
+    """Plot data for predicted v actual: every line item, with the common axis
+    limits of the whole table (A12)."""
     li = scored_lines(spark, sf_dir)
     lim = ME.regression_scores(li, "l_extendedprice", "pred").select("lower", "upper").first()
-    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    sample = li.where(SP.hash_bucket(key, 42, _SAMPLE_BUCKETS) < 10)
-    out = sample.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("actual"),
+    out = li.select("l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("actual"),
                         F.col("pred").alias("predicted"), F.lit(lim["lower"]).alias("lower"),
                         F.lit(lim["upper"]).alias("upper"))
     return round_doubles(out, 6)

@@ -8,8 +8,11 @@ only filled in when the session has none.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +43,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
+    ``spark.checkpoint.dir`` points at shared storage and is used as is.  A
+    session in one process (master ``local``) without the setting gets a
+    temporary folder, removed at exit; any other session must name one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -49,9 +53,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tabula-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
-    return local
+    return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context, so that their
+    Python workers can import it from any working folder."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tabula_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(sc._temp_dir, "tabula_package.zip")  # the driver serves it from here until Spark stops
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._tabula_shipped = True
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

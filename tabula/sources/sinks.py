@@ -6,7 +6,7 @@ and a run log.  Everything is written by executors in parallel to the given
 from __future__ import annotations
 
 import json
-import os
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +35,7 @@ def prediction_file(scored: DataFrame, id_col: str, prediction_col: str, target:
     """``submission_<model>_<UTC stamp>`` CSV with ``id_col`` and the prediction
     renamed to ``target``; rows keep their key (no positional alignment)."""
     stamp = (when or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
-    path = os.path.join(base_dir, f"submission_{model_name}_{stamp}")
+    path = f"{base_dir.rstrip('/')}/submission_{model_name}_{stamp}"
     write_csv(scored.select(id_col, F.col(prediction_col).alias(target)), path)
     return path
 
@@ -68,7 +68,7 @@ def log_run(spark: SparkSession, path: str, model_type: str, task_type: str, met
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location."""
+    """A new folder under the cluster's shared checkpoint location; its last part is
+    unique, so runs of the same second do not meet."""
     from tabula.session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base.replace("file:", ""), "tabula-out", name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabula-out/{name}/{uuid.uuid4().hex}"

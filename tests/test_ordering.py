@@ -47,3 +47,22 @@ def test_folds_balanced_and_stable(spark):
 def test_hash_split_bucket_of_key_7(spark):
     df = spark.createDataFrame([(7,)], "id long")
     assert df.select(SP.hash_bucket("id", 42)).first()[0] == 43
+
+
+def test_rows_with_null_keys_and_labels_stay(spark):
+    from tabula.operators import ordering as O
+    from tabula.operators import series as S
+    from tabula.operators import split as SP
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else "a", float(i)) for i in range(40)], "id long, g string, v double")
+    idx = O.row_index(df, ["g"], ["id"])
+    got = {}
+    for r in idx.collect():
+        got.setdefault(r["g"], []).append(r["idx"])
+    assert sorted(got[None]) == list(range(10)) and sorted(got["a"]) == list(range(30))
+    assert O.running_max(df, ["g"], ["id"], "v").count() == 40
+    diff = {r["id"]: r["diff"] for r in O.first_difference(idx, ["g"], "idx", "v").collect()}
+    assert len(diff) == 40 and diff[4] == 4.0 and diff[0] is None
+    assert SP.kfold(df, "id", 5, label="g").count() == 40
+    long = [("x", i, float((i * 7919) % 13) + i) for i in range(200)] + [(None, i, float(i % 5)) for i in range(60)] + [("s", i, 1.0) for i in range(5)]
+    rows = {r["k"]: r for r in S.arima111(spark.createDataFrame(long, "k string, i long, v double"), ["k"], ["i"], "v").collect()}
+    assert set(rows) == {"x", None, "s"} and rows["s"]["reason"] and rows["s"]["f1"] is None and rows["x"]["reason"] is None
