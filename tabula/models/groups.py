@@ -1,6 +1,6 @@
 """Feature-group search over a formula design (T9, M18, H-S2..S7).
 
-Design columns are grouped by name rules; some groups are always on, the
+Design columns are grouped by the term they come from; some groups are always on, the
 others are switched per trial.  Each trial scales the selected columns
 (population std, fitted inside each training fold) and fits an L1 / L2 /
 elastic-net logistic regression; the objective is the mean ROC-AUC over
@@ -10,7 +10,7 @@ stratified folds.  Fewer than three selected columns score 0.5 without a fit.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tabula.models.estimators import ScaledC
 from tabula.models.registry import P, sample
 from tabula.models.search import evaluate
+from tabula.operators.design import parse
 from tabula.operators.features import PopulationScaler
 
 # fixed values: the tuned parameters of the group search
@@ -31,8 +32,21 @@ GROUP_SPACE = [P("penalty", "cat", choices=("l1", "l2", "elasticnet")), P("C", "
 MIN_FEATURES = 3
 
 
-def build_groups(names: list[str], rules: dict[str, Callable[[str], bool]]) -> dict[str, list[str]]:
-    return {g: [c for c in names if rule(c)] for g, rule in rules.items()}
+def term_groups(formula: str, names: list[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """Groups of design columns, one per parsed term of the formula, and the groups
+    that stay on: the categorical main effects.
+
+    A group is named by the sources of its term's factors; a design column belongs to
+    the term whose factor labels it carries (levels in brackets left out)."""
+    _, terms, _ = parse(formula)
+    bare = {c: tuple(re.sub(r"\[[^\]]*\]$", "", part) for part in c.split(":")) for c in names}
+    groups, fixed = {}, []
+    for term in terms:
+        name = "_x_".join(re.sub(r"\W+", "_", f.source).strip("_") for f in term)
+        groups[name] = [c for c in names if bare[c] == tuple(f.label for f in term)]
+        if len(term) == 1 and term[0].kind == "cat":
+            fixed.append(name)
+    return groups, fixed
 
 
 def group_search(spark: SparkSession, data: DataFrame, label: str, groups: dict[str, list[str]],

@@ -20,6 +20,10 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from tabula.models.estimators import GaussianNB, GramLinear, ScaledC
 
 
+class RefusedKnob(ValueError):
+    """A parameter value, or a metric, that a model cannot serve."""
+
+
 @dataclass(frozen=True)
 class P:
     """One search dimension: ``int`` (step), ``float`` (log) or ``cat`` (choices);
@@ -104,14 +108,13 @@ RIDGE = [P("alpha", "float", 1e-4, 100.0, log=True), P("fit_intercept", "cat", c
 
 APPROXIMATIONS = {
     "min_samples_split": "no Spark knob; minInstancesPerNode = max(min_samples_leaf, ceil(min_samples_split / 2))",
-    "splitter=random": "no Spark knob; trees always search the binned thresholds",
+    "splitter=random": "refused: trees always search the binned thresholds",
     "criterion=absolute_error": "refused for trees and boosting (no Spark impurity)",
     "extra_trees": "random forest without bootstrap; split thresholds are not randomised",
     "xgboost/lightgbm/catboost": "own histogram booster (models/histboost.py): depth-wise, leaf-budget "
                                  "(level-synchronous, not strictly best-first) and symmetric growth; "
-                                 "min_child_samples is read as min child hessian; bagging_temperature and "
-                                 "random_strength are not used",
-    "SAMME.R": "treated as SAMME (discrete boosting)",
+                                 "bagging_temperature and random_strength are not used",
+    "SAMME.R": "refused (discrete boosting only)",
     "ridge solver": "ignored: the exact Gram solve is used",
     "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
     "svm kernels": "rbf by 100 random Fourier features, poly by explicit polynomial expansion, then a linear fit",
@@ -133,11 +136,17 @@ def _cls_impurity(p: dict) -> str:
 
 def _reg_impurity(p: dict) -> str:
     if p.get("criterion") == "absolute_error":
-        raise ValueError("criterion=absolute_error has no Spark impurity")
+        raise RefusedKnob("criterion=absolute_error has no Spark impurity")
     return "variance"
 
 
+def _no_random_splitter(p: dict) -> None:
+    if p.get("splitter") == "random":
+        raise RefusedKnob("splitter=random: Spark trees always search the binned thresholds")
+
+
 def _dt_c(p, n):
+    _no_random_splitter(p)
     return RandomForestClassifier(numTrees=1, bootstrap=False, maxDepth=min(int(p["max_depth"]), 30),
                                   minInstancesPerNode=_leaf(p), impurity=_cls_impurity(p),
                                   featureSubsetStrategy=_subset(p), seed=42) if p.get("max_features") else \
@@ -146,6 +155,7 @@ def _dt_c(p, n):
 
 
 def _dt_r(p, n):
+    _no_random_splitter(p)
     return RandomForestRegressor(numTrees=1, bootstrap=False, maxDepth=min(int(p["max_depth"]), 30),
                                  minInstancesPerNode=_leaf(p), impurity=_reg_impurity(p),
                                  featureSubsetStrategy=_subset(p), seed=42) if p.get("max_features") else \
@@ -177,7 +187,7 @@ def _gbt(cls, regression=False):
         if regression:
             loss = p.get("loss", "squared_error")
             if loss == "huber":
-                raise ValueError("huber loss has no Spark gradient-boosting counterpart")
+                raise RefusedKnob("huber loss has no Spark gradient-boosting counterpart")
             kw["lossType"] = "absolute" if loss == "absolute_error" else "squared"
         return cls(**kw)
     return b
@@ -203,6 +213,8 @@ def _svm_c(p, n):
 
 
 def _ada_c(p, n):
+    if p.get("algorithm") == "SAMME.R":
+        raise RefusedKnob("algorithm=SAMME.R: boosting here is discrete (SAMME)")
     from tabula.models.boosting import AdaBoostClassifier
     return AdaBoostClassifier(nEstimators=int(p["n_estimators"]), learningRate=float(p["learning_rate"]))
 
@@ -215,7 +227,8 @@ def _hist(growth, regression=False):
             nEstimators=int(p.get("n_estimators", p.get("iterations", 100))),
             learningRate=float(p["learning_rate"]),
             maxDepth=int(p.get("max_depth", p.get("depth", 6))),
-            minChildWeight=float(p.get("min_child_weight", 1.0)),
+            minChildWeight=float(p.get("min_child_weight", 0.0 if "min_child_samples" in p else 1.0)),
+            minChildSamples=int(p.get("min_child_samples", 1)),
             regLambda=float(p.get("reg_lambda", p.get("l2_leaf_reg", 1.0))),
             regAlpha=float(p.get("reg_alpha", 0.0)),
             gamma=float(p.get("gamma", 0.0)),

@@ -1,8 +1,8 @@
 """Linear models and regression inference from one Gram-matrix aggregate.
 
 ``gram`` scans the table once and returns n, means and the centred moment
-matrices as a single ``agg`` of k(k+1)/2 + 2k + 3 aggregates (partial
-aggregation per partition; only one row per partition is shuffled).  Every
+matrices: numpy block sums per task, merged pairwise; only one row per task is
+shuffled, and the plan does not grow with the number of columns.  Every
 estimate below is then a k x k computation on the driver:
 
 * OLS with standard errors, t, p, confidence intervals, R2, F, log-likelihood,
@@ -11,17 +11,18 @@ estimate below is then a k x k computation on the driver:
   descent on the covariance matrix (M4, M5)
 * VIF (H12), type-I ANOVA (H9)
 
-Passes that need residuals (Breusch-Pagan H7, HC3 H8) add one more aggregate
-whose per-row terms are column expressions of the fitted coefficients.
+Passes that need residuals (Breusch-Pagan H7, HC3 H8) are one more such pass.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,33 +63,72 @@ def _cols(df: DataFrame, cols: Sequence[str | Column]) -> list[Column]:
 
 def gram(df: DataFrame, xcols: Sequence[str | Column], y: str | Column,
          names: Sequence[str] | None = None) -> Gram:
-    """One aggregate of all centred cross-products over complete rows.
-
-    ``covar_pop`` keeps per-partition (n, means, co-moment) states merged with
-    the parallel update formula, so the result does not suffer the
-    cancellation of raw sums of squares at large n."""
-    xs = _cols(df, xcols)
-    yy = _cols(df, [y])[0]
-    complete = yy.isNotNull()
-    for x in xs:
-        complete = complete & x.isNotNull()
-    k = len(xs)
-    xs = [F.when(complete, x) for x in xs]
-    yy = F.when(complete, yy)
-    aggs = [F.count(yy).alias("n"), F.avg(yy).alias("my"), F.covar_pop(yy, yy).alias("cyy")]
-    aggs += [F.avg(xs[i]).alias(f"m{i}") for i in range(k)]
-    aggs += [F.covar_pop(xs[i], yy).alias(f"y{i}") for i in range(k)]
-    aggs += [F.covar_pop(xs[i], xs[j]).alias(f"x{i}_{j}") for i in range(k) for j in range(i, k)]
-    r = df.agg(*aggs).first()
-    n = float(r["n"] or 0.0)
-    cxx = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cxx[i, j] = cxx[j, i] = (r[f"x{i}_{j}"] or 0.0) * n
-    return Gram(names=list(names or [c if isinstance(c, str) else f"x{i}" for i, c in enumerate(xcols)]),
-                n=n, mx=np.array([r[f"m{i}"] or 0.0 for i in range(k)]), my=float(r["my"] or 0.0),
-                cxx=cxx, cxy=np.array([(r[f"y{i}"] or 0.0) * n for i in range(k)]),
-                cyy=float(r["cyy"] or 0.0) * n)
+    """All centred cross-products over complete rows, in one pass and one small shuffle.
+
+    Every task reduces its rows to (n, means, centred moments), batch by batch, with
+    the parallel update formula, which does not suffer the cancellation of raw sums
+    of squares at large n.  Such states merge in two steps, about the root of the
+    number of tasks at a time, so neither a task nor the driver meets more than that."""
+    values = [*_cols(df, xcols), *_cols(df, [y])]
+    k = len(values) - 1
+    states = _task_states(df, values, lambda z: (float(len(z)), z.mean(axis=0), (z - z.mean(axis=0)).T @ (z - z.mean(axis=0))), _merge_moments)
+    n, mean, c = states if states is not None else (0.0, np.zeros(k + 1), np.zeros((k + 1, k + 1)))
+    return Gram(names=list(names or [c_ if isinstance(c_, str) else f"x{i}" for i, c_ in enumerate(xcols)]),
+                n=n, mx=mean[:k], my=float(mean[k]), cxx=c[:k, :k], cxy=c[:k, k], cyy=float(c[k, k]))
+
+
+State = tuple[float, np.ndarray, np.ndarray]
+
+
+def _merge_moments(a: State, b: State) -> State:
+    n = a[0] + b[0]
+    d = b[1] - a[1]
+    return n, a[1] + d * (b[0] / n), a[2] + b[2] + np.outer(d, d) * (a[0] * b[0] / n)
+
+
+def _merge_sums(a: State, b: State) -> State:
+    return a[0] + b[0], a[1] + b[1], a[2] + b[2]
+
+
+def _task_states(df: DataFrame, values: Sequence[Column], state: Callable[[np.ndarray], State],
+                 merge: Callable[[State, State], State]) -> State | None:
+    """``state`` of every Arrow batch of complete rows, merged; None without rows."""
+    names = [f"v{i}" for i in range(len(values))]
+    schema = "part int, n double, v array<double>, m array<double>"
+
+    def packed(part: int, s: State) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([s[0]], pa.float64()),
+                                           pa.array([s[1].tolist()], pa.list_(pa.float64())),
+                                           pa.array([s[2].ravel().tolist()], pa.list_(pa.float64()))], names=["part", "n", "v", "m"])
+
+    def unpacked(rows: pa.Table | pa.RecordBatch) -> State | None:
+        held = None
+        for n, v, m in zip(*(rows.column(c).to_pylist() for c in ("n", "v", "m")), strict=True):
+            one = (n, np.array(v), np.array(m).reshape(len(v), -1))
+            held = one if held is None else merge(held, one)
+        return held
+
+    def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            full = np.ones(batch.num_rows, bool)
+            for c in batch.columns:
+                full &= c.is_valid().to_numpy(zero_copy_only=False).astype(bool)
+            if full.any():
+                z = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])[full]
+                held = state(z) if held is None else merge(held, state(z))
+        if held is not None:
+            yield packed(TaskContext.get().partitionId(), held)
+
+    def reduce_group(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([packed(0, unpacked(rows))])
+
+    tasks = df.select(*[c.alias(n) for c, n in zip(values, names, strict=True)])
+    rows = tasks.mapInArrow(reduce_task, schema)
+    groups = max(1, math.isqrt(int(df.sparkSession.sparkContext.defaultParallelism)))
+    merged = rows.withColumn("g", F.pmod("part", F.lit(groups))).groupBy("g").applyInArrow(
+        lambda t: reduce_group(t.drop_columns(["g"])), schema)
+    return unpacked(merged.toArrow())
 
 
 def _rank_columns(xtx: np.ndarray, tol: float = 1e-10) -> list[int]:
@@ -318,23 +358,18 @@ def breusch_pagan(df: DataFrame, fit: OLSResult, xcols: Sequence[str], y: str
 def hc3_cov(df: DataFrame, fit: OLSResult, y: str) -> np.ndarray:
     """Heteroscedasticity-consistent (HC3) covariance:
     (X'X)^-1 [sum x x' e^2 / (1 - h)^2] (X'X)^-1 with leverage h = x'(X'X)^-1 x
-    evaluated per row as a column expression; one aggregate."""
-    names = fit.names
-    xs = [F.lit(1.0) if n == "Intercept" else qcol(n).cast("double") for n in names]
-    bread = fit.cov / fit.sigma2
-    h = F.lit(0.0)
-    for i in range(len(xs)):
-        for j in range(len(xs)):
-            if bread[i, j] != 0:
-                h = h + F.lit(float(bread[i, j])) * xs[i] * xs[j]
-    e = qcol(y).cast("double") - fit.predict()
-    wgt = (e * e) / F.pow(1 - h, 2)
-    k = len(xs)
-    r = df.agg(*[F.sum(wgt * xs[i] * xs[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    meat = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            meat[i, j] = meat[j, i] = r[f"m{i}_{j}"]
+    evaluated on numpy blocks; one pass whose k x k sums merge as in ``gram``."""
+    values = [F.lit(1.0) if n == "Intercept" else qcol(n).cast("double") for n in fit.names] + [qcol(y).cast("double")]
+    bread, coef = fit.cov / fit.sigma2, np.asarray(fit.coef, float)
+
+    def state(z: np.ndarray) -> State:
+        x = z[:, :-1]
+        h = ((x @ bread) * x).sum(axis=1)
+        w = (z[:, -1] - x @ coef) ** 2 / (1 - h) ** 2
+        return float(len(z)), np.zeros(len(coef)), (x * w[:, None]).T @ x
+
+    got = _task_states(df, values, state, _merge_sums)
+    meat = got[2] if got is not None else np.zeros_like(bread)
     return bread @ meat @ bread
 
 

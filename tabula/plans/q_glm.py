@@ -145,50 +145,20 @@ def logit_fold_auc(spark, sf_dir):
                    F.count(F.lit(1)).alias("n_folds"))
 
 
-
 # ---------------------------------------------------------------- feature-group search
 
-CANDIDATE = ("churn ~ C(segment) + senior + C(region) + C(phone) + num_services + num_addons + tenure + log_tenure"
-             " + monthly + total_charges + avg_charge_per_month + charge_per_service + log_total_charges"
-             " + is_new_customer + auto_pay + log_tenure:avg_charge_per_month + is_new_customer:monthly"
-             " + tenure:monthly + senior:monthly + auto_pay:C(region) + num_services:C(region)"
-             " + senior:C(region) + C(phone):C(segment)")
-# fixed values: name rules of the feature groups; the first two are always on
-GROUP_RULES = {
-    "segment_billing": lambda c: ("segment" in c or "phone" in c) and ":" not in c,
-    "region": lambda c: "region" in c and ":" not in c,
-    "demographics": lambda c: "senior" in c and ":" not in c,
-    "service_counts": lambda c: c in ("num_services", "num_addons"),
-    "tenure_raw": lambda c: c == "tenure",
-    "tenure_log": lambda c: c == "log_tenure",
-    "charges_raw": lambda c: c in ("monthly", "total_charges"),
-    "charges_eng": lambda c: c in ("avg_charge_per_month", "charge_per_service", "log_total_charges"),
-    "binary_flags": lambda c: c in ("is_new_customer", "auto_pay"),
-    "interact_tenure_charge": lambda c: "log_tenure:avg_charge" in c,
-    "interact_new_monthly": lambda c: "is_new_customer:monthly" in c,
-    "interact_tenure_monthly": lambda c: c == "tenure:monthly",
-    "interact_senior_monthly": lambda c: "senior:monthly" in c,
-    "interact_autopay_region": lambda c: c.startswith("auto_pay:"),
-    "interact_services_region": lambda c: c.startswith("num_services:"),
-    "interact_senior_region": lambda c: c.startswith("senior:C(region"),
-    "interact_phone_segment": lambda c: "phone" in c and ":" in c,
-}
-ALWAYS_ON = ["segment_billing", "region"]
-_SEARCH_CACHE: dict = {}
-
-
-def _group_trials(spark, sf_dir, n_trials=6):
-    key = (sf_dir, n_trials)
-    if key not in _SEARCH_CACHE:
-        from tabula.models.groups import build_groups, group_search
-        t = CH.churn_table(spark, sf_dir)
-        d, names, resp, _ = DS.design_frame(t, CANDIDATE, keep=["id"])
-        d = SP.kfold(d, "id", 5, label=resp, seed=42)
-        groups = build_groups(names, GROUP_RULES)
-        trials = group_search(spark, d, resp, groups, ALWAYS_ON, n_trials=n_trials, seed=42).cache()
-        trials.count()
-        _SEARCH_CACHE[key] = trials
-    return _SEARCH_CACHE[key]
+SEARCH_FORMULA = ("churn ~ C(segment) + C(region) + C(security) + senior + auto_pay + log_tenure + avg_charge_per_month"
+                  " + charge_per_service + num_addons + log_tenure:avg_charge_per_month + senior:C(region)")
+GROUP_TRIALS = 12  # a parameter of the query; group_search itself defaults to 80
+
+
+def _group_trials(spark, sf_dir):
+    from tabula.models.groups import group_search, term_groups
+    t = CH.churn_table(spark, sf_dir)
+    d, names, resp, _ = DS.design_frame(t, SEARCH_FORMULA, keep=["id"])
+    d = SP.kfold(d, "id", 5, label=resp, seed=42)
+    groups, fixed = term_groups(SEARCH_FORMULA, names)
+    return group_search(spark, d, resp, groups, fixed, n_trials=GROUP_TRIALS, seed=42)
 
 
 @register("feature_group_search")

@@ -125,19 +125,20 @@ def vif_table(spark, sf_dir):
 
 
 @register("anova_type1", _MOM + """
-SELECT 'l_quantity' AS term, 1.0 AS df, round(s1y * s1y / s11, 2) AS sum_sq, round(s1y * s1y / s11, 2) AS mean_sq,
+SELECT 'l_quantity' AS term, 1.0 AS df, round(s1y * s1y / s11, -2) AS sum_sq, round(s1y * s1y / s11, -2) AS mean_sq,
        round((s1y * s1y / s11) / sigma2, 4) AS f_stat FROM f
-UNION ALL SELECT 'l_discount', 1.0, round(b1 * s1y + b2 * s2y - s1y * s1y / s11, 2),
-       round(b1 * s1y + b2 * s2y - s1y * s1y / s11, 2), round((b1 * s1y + b2 * s2y - s1y * s1y / s11) / sigma2, 4) FROM f
-UNION ALL SELECT 'Residual', CAST(n - 3 AS DOUBLE), round(sse, 2), round(sigma2, 2), NULL FROM f""")
+UNION ALL SELECT 'l_discount', 1.0, round(b1 * s1y + b2 * s2y - s1y * s1y / s11, -2),
+       round(b1 * s1y + b2 * s2y - s1y * s1y / s11, -2), round((b1 * s1y + b2 * s2y - s1y * s1y / s11) / sigma2, 4) FROM f
+UNION ALL SELECT 'Residual', CAST(n - 3 AS DOUBLE), round(sse, -2), round(sigma2, -2), NULL FROM f""")
 def anova_type1(spark, sf_dir):
     """Sequential sums of squares from nested sub-blocks of one Gram matrix."""
     rows = L.anova_type1(_lines(spark, sf_dir), [["l_quantity"], ["l_discount"]], X2, Y)
     df = spark.createDataFrame(
         [(r[0], float(r[1]), float(r[2]), float(r[3]), None if np.isnan(r[4]) else float(r[4])) for r in rows],
         "term string, df double, sum_sq double, mean_sq double, f_stat double")
-    return round_doubles(round_doubles(df.drop("f_stat"), 2).join(round_doubles(df.select("term", "f_stat"), 4),
-                                                                   "term"), 4)
+    # sums are near 1e14, so -2 is about their 12th digit
+    return df.select("term", "df", F.round("sum_sq", -2).alias("sum_sq"), F.round("mean_sq", -2).alias("mean_sq"),
+                     F.round("f_stat", 4).alias("f_stat"))
 
 
 @register("anova_pvalues")

@@ -87,3 +87,23 @@ def test_lasso_kkt(spark):
             assert abs(g - 0.5 * np.sign(b[j])) < 1e-6
         else:
             assert abs(g) <= 0.5 + 1e-9
+
+
+def test_gram_of_200_columns_in_one_pass(spark):
+    import time
+
+    import numpy as np
+
+    from tabula.operators import linear as L
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 200)) + 1e6
+    y = x[:, :3] @ [1.0, -2.0, 3.0] + rng.normal(size=400)
+    cols = [f"c{i}" for i in range(200)]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)] + [(None, *[1.0] * 199, 0.0)],
+                               ", ".join(f"{c} double" for c in [*cols, "y"])).repartition(5)
+    t0 = time.time()
+    g = L.gram(df, cols, "y")
+    assert time.time() - t0 < 60 and g.n == 400
+    z = x - x.mean(axis=0)
+    assert np.allclose(g.cxx, z.T @ z, rtol=1e-8, atol=1e-6) and np.allclose(g.cxy, z.T @ (y - y.mean()), rtol=1e-6, atol=1e-4)
+    assert L.gram(df.where("y is null"), cols, "y").n == 0
