@@ -162,7 +162,8 @@ def _newton_pieces(data: DataFrame, xcols: list[str], y: str, coef: np.ndarray,
                 w = mu
                 ll += float(np.sum(yv * eta - mu))
                 if final:
-                    lg += float(sum(math.lgamma(v + 1.0) for v in yv))
+                    counts, times = np.unique(yv, return_counts=True)
+                    lg += float(sum(math.lgamma(v + 1.0) * t for v, t in zip(counts, times)))
             miss += float(np.sum(np.abs(yv - mu) > 1e-6))
             hess += (X * w[:, None]).T @ X
             grad += X.T @ (yv - mu)

@@ -72,3 +72,27 @@ def union_long(features, value_expr="CAST({c} AS VARCHAR)", extra="churn", sourc
     parts = [f"SELECT '{c}' AS feature, {value_expr.format(c=c)} AS value, {extra} FROM {source}"
              for c in features]
     return "\nUNION ALL\n".join(parts)
+
+
+def chi2_tail(x: str, dof: str, terms: int = 3000) -> str:
+    """Upper tail of chi-square: 1 minus the series of the lower incomplete gamma."""
+    a, h = f"({dof} / 2.0)", f"(greatest({x}, 1e-300) / 2.0)"
+    return (f"CASE WHEN {dof} = 0 THEN 1.0 ELSE greatest(0.0, 1.0 - list_sum(list_transform(range(0, {terms}), "
+            f"lambda i: exp(({a} + i) * ln({h}) - {h} - lgamma({a} + i + 1))))) END")
+
+
+def beta_upper(y: str, a: str, b: str, terms: int = 20000) -> str:
+    """1 - I_y(a, b), I by its hypergeometric series in y."""
+    front = f"({a} * ln({y}) + {b} * ln(1.0 - {y}) - ln({a}) - lgamma({a}) - lgamma({b}) + lgamma({a} + {b}))"
+    term = f"lgamma({a} + {b} + i) - lgamma({a} + {b}) - lgamma({a} + 1 + i) + lgamma({a} + 1) + i * ln({y})"
+    return f"greatest(0.0, 1.0 - list_sum(list_transform(range(0, {terms}), lambda i: exp({front} + {term}))))"
+
+
+def t_tail(t: str, dof: str, terms: int = 20000) -> str:
+    """Two-sided tail of Student's t."""
+    return beta_upper(f"greatest({t} * {t} / ({dof} + {t} * {t}), 1e-300)", "0.5", f"({dof} / 2.0)", terms)
+
+
+def f_tail(f: str, d1: str, d2: str, terms: int = 20000) -> str:
+    """Upper tail of F."""
+    return beta_upper(f"({d1} * {f} / ({d2} + {d1} * {f}))", f"({d1} / 2.0)", f"({d2} / 2.0)", terms)

@@ -11,7 +11,7 @@ from tabula.operators import glm as G
 from tabula.operators import metrics as ME
 from tabula.operators import split as SP
 from tabula.plans import churn as CH
-from tabula.plans.oracle_sql import with_churn
+from tabula.plans.oracle_sql import chi2_tail, with_churn
 from tabula.plans.registry import register
 from tabula.sources.tables import table
 
@@ -127,6 +127,52 @@ def poisson_orders(spark, sf_dir):
     return fit.table(spark)
 
 
+_ONE_FACTOR = with_churn(f"""
+g AS (SELECT segment, CAST(count(*) AS DOUBLE) AS n, avg(CAST(churn AS DOUBLE)) AS p FROM churn_t GROUP BY segment),
+r AS (SELECT n AS n0, p AS p0 FROM g WHERE segment = (SELECT min(segment) FROM g)),
+a AS (SELECT sum(n) AS n_all, sum(n * p) / sum(n) AS pm, sum(n * (p * ln(p) + (1 - p) * ln(1 - p))) AS llf,
+             sum(n * p * (1 - p)) / sum(n) AS slope FROM g),
+c AS (SELECT 'Intercept' AS term, ln(p0 / (1 - p0)) AS coef, sqrt(1 / (n0 * p0 * (1 - p0))) AS se FROM r
+  UNION ALL SELECT 'C(segment)[T.' || segment || ']', ln(p / (1 - p)) - ln(p0 / (1 - p0)),
+                   sqrt(1 / (n0 * p0 * (1 - p0)) + 1 / (n * p * (1 - p))) FROM g, r WHERE segment > (SELECT min(segment) FROM g))
+SELECT term, round(coef, 5) AS coef, round(se, 5) AS std_err, round(coef / se, 4) AS z,
+       round({chi2_tail("(coef / se) * (coef / se)", "1")}, 6) AS p_value, round(exp(coef), 5) AS odds_ratio,
+       round(coef * slope, 6) AS marginal_effect, round(llf, 4) AS llf,
+       round(2 * (llf - n_all * (pm * ln(pm) + (1 - pm) * ln(1 - pm))), 4) AS lr_stat FROM c, a""")
+
+
+@register("logit_one_factor", _ONE_FACTOR)
+def logit_one_factor(spark, sf_dir):
+    """Logit of churn on the segment alone: saturated, so the iterative fit must give
+    the log odds, their errors, the likelihood and the LR statistic in closed form."""
+    d, fit = _fit(spark, sf_dir, "churn ~ C(segment)")
+    lr, _, _ = G.likelihood_ratio(_fit(spark, sf_dir, NULL_MODEL)[1], fit)
+    slope = d.select(fit.predict().alias("p")).agg(F.avg(F.col("p") * (1 - F.col("p")))).first()[0]
+    t = fit.table(spark)
+    return t.select("term", F.round("coef", 5).alias("coef"), F.round("std_err", 5).alias("std_err"), F.round("z", 4).alias("z"),
+                    F.round("p_value", 6).alias("p_value"), F.round(F.exp("coef"), 5).alias("odds_ratio"),
+                    F.round(F.col("coef") * F.lit(float(slope)), 6).alias("marginal_effect"),
+                    F.round(F.lit(float(fit.llf)), 4).alias("llf"), F.round(F.lit(float(lr)), 4).alias("lr_stat"))
+
+
+@register("poisson_one_factor", """
+WITH o AS (SELECT o_custkey, count(*) AS k FROM orders GROUP BY o_custkey),
+g AS (SELECT c_mktsegment AS s, CAST(count(*) AS DOUBLE) AS n, CAST(sum(coalesce(k, 0)) AS DOUBLE) AS y
+      FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_mktsegment),
+r AS (SELECT n AS n0, y AS y0 FROM g WHERE s = (SELECT min(s) FROM g)),
+c AS (SELECT 'Intercept' AS term, ln(y0 / n0) AS coef, sqrt(1 / y0) AS se FROM r
+  UNION ALL SELECT 'C(c_mktsegment)[T.' || s || ']', ln(y / n) - ln(y0 / n0), sqrt(1 / y0 + 1 / y) FROM g, r WHERE s > (SELECT min(s) FROM g))
+SELECT term, round(coef, 5) AS coef, round(se, 5) AS std_err, round(coef / se, 4) AS z FROM c""")
+def poisson_one_factor(spark, sf_dir):
+    """Poisson regression of the number of orders on the segment alone (saturated)."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k"))
+    df = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left") \
+        .select("c_mktsegment", F.coalesce("k", F.lit(0)).alias("n_orders"))
+    d, names, resp, _ = DS.design_frame(df, "n_orders ~ C(c_mktsegment)")
+    t = G.fit_glm(d, names, resp, family="poisson").table(spark)
+    return t.select("term", F.round("coef", 5).alias("coef"), F.round("std_err", 5).alias("std_err"), F.round("z", 4).alias("z"))
+
+
 @register("logit_fold_auc")
 def logit_fold_auc(spark, sf_dir):
     """Refit the enhanced logit on each of 5 shuffled stratified folds (seed 99)

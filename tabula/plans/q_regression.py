@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 
+from pyspark.sql import functions as F
 from tabula.functions.expressions import round_doubles
 from tabula.operators import linear as L
+from tabula.plans.oracle_sql import f_tail, t_tail
 from tabula.plans.registry import register
 from tabula.sources.tables import table
 
@@ -54,10 +56,23 @@ def ols_coefficients(spark, sf_dir):
     return round_doubles(fit.table(spark).select("term", "coef", "std_err", "t_stat"), 4)
 
 
-@register("ols_inference")
+# the 97.5 % point of t at a high dof is that of the normal plus the first two terms of its expansion
+_T975 = ("(1.959963984540054 + (pow(1.959963984540054, 3) + 1.959963984540054) / (4.0 * (n - 3)) + "
+         "(5 * pow(1.959963984540054, 5) + 16 * pow(1.959963984540054, 3) + 3 * 1.959963984540054) / (96.0 * pow(n - 3, 2)))")
+
+
+@register("ols_inference", _MOM + f"""
+, t AS (SELECT 'Intercept' AS term, b0 AS b, sqrt(sigma2 * (1.0 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / d)) AS s, n FROM f
+  UNION ALL SELECT 'l_quantity', b1, sqrt(sigma2 * s22 / d), n FROM f
+  UNION ALL SELECT 'l_discount', b2, sqrt(sigma2 * s11 / d), n FROM f)
+SELECT term, round(b, 4) AS coef, round(s, 4) AS std_err, round(b / s, 4) AS t_stat,
+       round(CASE WHEN abs(b / s) > 30 THEN 0.0 ELSE {t_tail("(b / s)", "(n - 3)")} END, 6) AS p_value,
+       round(b - {_T975} * s, 4) AS ci_lower, round(b + {_T975} * s, 4) AS ci_upper FROM t""")
 def ols_inference(spark, sf_dir):
     """Full coefficient table with p-values and 95% intervals (t tails)."""
-    return L.ols(_lines(spark, sf_dir), X2, Y).table(spark)
+    t = round_doubles(L.ols(_lines(spark, sf_dir), X2, Y).table(spark).withColumn("p6", F.round("p_value", 6)).drop("p_value"), 6)
+    return t.select("term", *[F.round(c, 4).alias(c) for c in ("coef", "std_err", "t_stat")], F.col("p6").alias("p_value"),
+                    *[F.round(c, 4).alias(c) for c in ("ci_lower", "ci_upper")])
 
 
 @register("ols_summary", _MOM + """
@@ -141,11 +156,17 @@ def anova_type1(spark, sf_dir):
                      F.round("f_stat", 4).alias("f_stat"))
 
 
-@register("anova_pvalues")
+@register("anova_pvalues", _MOM + f"""
+, t AS (SELECT 'l_quantity' AS term, (s1y * s1y / s11) / sigma2 AS f_stat, CAST(n - 3 AS DOUBLE) AS d2 FROM f
+  UNION ALL SELECT 'l_discount', (b1 * s1y + b2 * s2y - s1y * s1y / s11) / sigma2, CAST(n - 3 AS DOUBLE) FROM f)
+SELECT term, round(f_stat, 4) AS f_stat,
+       round(CASE WHEN f_stat > 1000 THEN 0.0 ELSE {f_tail("f_stat", "1.0", "d2")} END, 6) AS p_value FROM t""")
 def anova_pvalues(spark, sf_dir):
+    """F tests of the terms (upper tails of F)."""
     rows = L.anova_type1(_lines(spark, sf_dir), [["l_quantity"], ["l_discount"]], X2, Y)
-    return spark.createDataFrame([tuple(float(v) if i else v for i, v in enumerate(r)) for r in rows],
-                                 "term string, df double, sum_sq double, mean_sq double, f_stat double, p_value double")
+    df = spark.createDataFrame([(r[0], float(r[4]), float(r[5])) for r in rows if r[0] != "Residual"],
+                               "term string, f_stat double, p_value double")
+    return df.select("term", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
 
 
 _ONE = f"""

@@ -45,6 +45,19 @@ def pacf(spark, sf_dir):
     return SR.pacf(a.withColumn("lag", F.col("lag").cast("int")), ["user_id"])
 
 
+@register("pacf_low_lags", f"""
+WITH a AS ({_ACF_SQL.replace("round(nm / ss, 6)", "nm / ss")}),
+r AS (SELECT user_id, max(CASE WHEN lag = 1 THEN acf END) AS r1, max(CASE WHEN lag = 2 THEN acf END) AS r2,
+             max(CASE WHEN lag = 3 THEN acf END) AS r3 FROM a GROUP BY user_id),
+p AS (SELECT user_id, 1 AS lag, r1 AS pacf FROM r
+  UNION ALL SELECT user_id, 2, (r2 - r1 * r1) / (1 - r1 * r1) FROM r
+  UNION ALL SELECT user_id, 3, (pow(r1, 3) - r1 * r2 * (2 - r2) + r3 * (1 - r1 * r1)) / (1 - r2 * r2 - 2 * r1 * r1 * (1 - r2)) FROM r)
+SELECT user_id, CAST(lag AS INTEGER) AS lag, round(pacf, 5) AS pacf FROM p WHERE pacf IS NOT NULL""")
+def pacf_low_lags(spark, sf_dir):
+    """The first three partial autocorrelations, which have closed forms."""
+    return round_doubles(pacf(spark, sf_dir).where("lag <= 3"), 5)
+
+
 @register("arima_forecast")
 def arima_forecast(spark, sf_dir):
     """ARIMA(1,1,1) per user (Hannan-Rissanen) and 5-step forecasts."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tabula.functions.expressions import round_doubles
 from tabula.operators import stattests as ST
 from tabula.plans import churn as CH
-from tabula.plans.oracle_sql import union_long, with_churn
+from tabula.plans.oracle_sql import chi2_tail, t_tail, union_long, with_churn
 from tabula.plans.registry import register
 
 TTEST_COLS = CH.NUMERIC_COLS + CH.ENGINEERED_COLS
@@ -47,11 +49,17 @@ def chi_square(spark, sf_dir):
     return round_doubles(ST.chi_square_stats(df, CH.CATEGORICAL_COLS, "churn"), 6)
 
 
-@register("chi_square_test")
+_CHI_TEST_SQL = _CHI_SQL[:_CHI_SQL.rindex("SELECT feature")] + f"""SELECT feature, n, round(chi2, 6) AS chi2, CAST(dof AS INTEGER) AS dof,
+       round(CASE WHEN mm > 1 THEN sqrt(chi2 / (n * (mm - 1))) END, 6) AS cramers_v,
+       round({chi2_tail("chi2", "dof")}, 6) AS p_value, {chi2_tail("chi2", "dof")} < 0.05 AS significant
+FROM st"""
+
+
+@register("chi_square_test", _CHI_TEST_SQL)
 def chi_square_test(spark, sf_dir):
     """Full table with p-values (tail through a pandas UDF on the per-feature rows)."""
     df = CH.churn_table(spark, sf_dir)
-    return ST.chi_square_test(df, CH.CATEGORICAL_COLS, "churn")
+    return round_doubles(ST.chi_square_test(df, CH.CATEGORICAL_COLS, "churn"), 6)
 
 
 _T_SQL = with_churn(f"""
@@ -77,10 +85,15 @@ def welch_ttest(spark, sf_dir):
     return round_doubles(ST.welch_stats(df, TTEST_COLS, "churn"), 6)
 
 
-@register("welch_ttest_pvalues")
+_T_TEST_SQL = _T_SQL[:_T_SQL.rindex("SELECT feature, round(m0")] + f"""SELECT *, round({t_tail("t_stat", "welch_df")}, 5) AS p_value FROM (
+""" + _T_SQL[_T_SQL.rindex("SELECT feature, round(m0"):] + ")"
+
+
+@register("welch_ttest_pvalues", _T_TEST_SQL)
 def welch_ttest_pvalues(spark, sf_dir):
     df = CH.churn_table(spark, sf_dir)
-    return ST.welch_test(df, TTEST_COLS, "churn")
+    t = round_doubles(ST.welch_test(df, TTEST_COLS, "churn"), 6)
+    return t.withColumn("p_value", F.round("p_value", 5))
 
 
 _CLEAN_COLS = ["id", "segment", "region", "senior", "tenure", "monthly", "total_charges", "phone",
