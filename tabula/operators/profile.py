@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabula.session import cut_lineage
 from tabula.operators.quantiles import exact_quantiles
 
 
@@ -111,7 +112,9 @@ def density_histogram(df: DataFrame, features: Sequence[str], group: str | None
                                   F.count(F.lit(1)).alias("n"))
     lo = F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5)
     hi = F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5)
-    rng = rng.select(*keys, lo.alias("lo"), hi.alias("hi"), "n")
+    # one row per feature and group value; Spark's own size check decides on a broadcast,
+    # and with more groups the join splits a hot one, both sides being stored
+    rng = cut_lineage(rng.select(*keys, lo.alias("lo"), hi.alias("hi"), "n"))
     idx = F.least(F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins),
                   F.lit(bins - 1)).cast("int")
     counted = (long.join(rng, keys).select(*keys, idx.alias("bin"), "lo", "hi", "n")

@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 
 
 MODULES = ("q_stats", "q_clean", "q_profile", "q_split", "q_metrics", "q_transform",
-           "q_regression", "q_glm", "q_series", "q_models")
+           "q_regression", "q_glm", "q_series", "q_models", "q_sources")
 
 
 def load_all() -> None:
