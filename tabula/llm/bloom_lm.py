@@ -19,7 +19,7 @@ sums add up to the same score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.llm.common import crc32_of, map_text, stored, text_chunks
-from tabula.llm.words import hash_words, mix64, split_words
+from tabula.llm.words import hash_words, mix64, pack48, split_words, unpack48
 
 GROUP_BITS, SUB_BITS = 5, 3      # 32 groups of words, 8 cells each
 KEY_BITS = 48                    # of a bigram inside its cell
@@ -81,16 +81,6 @@ def _probe(key: np.ndarray, level: int, i: int, size: np.ndarray | np.uint64) ->
     return ((h & np.uint64(0xFFFFFFFF)) + np.uint64(i) * (h >> np.uint64(32) | np.uint64(1))) % size
 
 
-def _pack48(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _unpack48(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
 def _count_rows(texts: DataFrame) -> DataFrame:
     """``kind, cell, keys, counts`` per batch; kind 0 words, kind 1 bigrams."""
     schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("cell", T.IntegerType()),
@@ -108,7 +98,7 @@ def _count_rows(texts: DataFrame) -> DataFrame:
                 pair, n = np.unique(bigram_key(prev, cur), return_counts=True)
                 cell = (pair >> np.uint64(KEY_BITS)).astype(np.int64)
                 for c, lo, hi in _runs(cell):
-                    rows.append((1, c, _pack48(pair[lo:hi] & MASK), n[lo:hi].astype(np.uint32).tobytes()))
+                    rows.append((1, c, pack48(pair[lo:hi] & MASK), n[lo:hi].astype(np.uint32).tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(col), t) for col, t in zip(
                         zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
@@ -133,7 +123,7 @@ def _cells(counted: DataFrame) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         kind, cell = table["kind"][0].as_py(), table["cell"][0].as_py()
         blobs = table["keys"].to_pylist()
-        keys = np.concatenate([np.frombuffer(b, np.uint64) if kind == 0 else _unpack48(b) for b in blobs])
+        keys = np.concatenate([np.frombuffer(b, np.uint64) if kind == 0 else unpack48(b) for b in blobs])
         n = np.concatenate([np.frombuffer(b, np.uint32) for b in table["counts"].to_pylist()]).astype(np.int64)
         order = np.argsort(keys)
         keys, n = keys[order], n[order]
@@ -141,7 +131,7 @@ def _cells(counted: DataFrame) -> DataFrame:
         keys, n = keys[first], np.add.reduceat(n, np.flatnonzero(first))
         bits = 0
         if kind == 0:
-            blob = keys.tobytes() + n.tobytes()
+            blob = keys.tobytes() + np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes()
         else:
             level = level_of(n)
             bits = max(64, BITS_PER_ENTRY * int(level.sum()))
@@ -161,30 +151,32 @@ def _cells(counted: DataFrame) -> DataFrame:
 class CountFilter:
     """The broadcast cells: exact word counts, and bigram counts by probing."""
 
-    def __init__(self, rows: list, firsts: range, seconds: range, total: int, distinct: int):
+    def __init__(self, cells: Iterable, sizes: list, firsts: range, seconds: range, total: int, distinct: int):
+        """``sizes`` lists the cells that ``cells`` yields (in any order), without blobs:
+        every array is allocated once and filled cell by cell."""
         self.firsts, self.seconds, self.total, self.distinct = firsts, seconds, total, distinct
-        parts: dict[int, list[np.ndarray]] = {0: [], 1: []}
         n_cells = 1 << (GROUP_BITS + SUB_BITS)
         self.bits, self.base = np.zeros(n_cells, np.uint64), np.zeros(n_cells, np.uint64)
-        keys, at = [], 0
-        for r in sorted(rows, key=lambda r: (r["kind"], r["cell"])):
-            raw = np.frombuffer(r["blob"], np.uint8)
-            if r["kind"] == 0:
-                keys.append(raw[:8 * r["distinct"]].view(np.uint64))
-                parts[0].append(raw[8 * r["distinct"]:].view(np.int64))
+        place, at = {}, [0, 0]
+        for r in sorted(sizes, key=lambda r: (r["kind"], r["cell"])):
+            place[r["kind"], r["cell"]] = at[r["kind"]]
+            if r["kind"]:
+                self.bits[r["cell"]], self.base[r["cell"]] = r["bits"], 8 * at[1]
+            at[r["kind"]] += r["bytes"] if r["kind"] else r["distinct"]
+        self.keys, self.counts, self.filter = np.zeros(at[0], np.uint64), np.zeros(at[0], np.uint32), np.zeros(max(8, at[1]), np.uint8)
+        for r in cells:
+            raw, lo = np.frombuffer(r["blob"], np.uint8), place[r["kind"], r["cell"]]
+            if r["kind"]:
+                self.filter[lo:lo + len(raw)] = raw
             else:
-                self.bits[r["cell"]], self.base[r["cell"]] = r["bits"], at
-                at += 8 * len(raw)
-                parts[1].append(raw)
-        self.keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        self.counts = np.concatenate(parts[0]) if keys else np.zeros(0, np.int64)
-        self.filter = np.concatenate(parts[1]) if parts[1] else np.zeros(8, np.uint8)
+                n = r["distinct"]
+                self.keys[lo:lo + n], self.counts[lo:lo + n] = raw[:8 * n].view(np.uint64), raw[8 * n:].view(np.uint32)
 
     def words(self, word: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(word), np.int64)
         at = np.minimum(np.searchsorted(self.keys, word), len(self.keys) - 1)
-        return np.where(self.keys[at] == word, self.counts[at], 0)
+        return np.where(self.keys[at] == word, self.counts[at], 0).astype(np.int64)
 
     def bigrams(self, prev: np.ndarray, cur: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Smallest counts of the levels found; ``most`` bounds each from above."""
@@ -233,7 +225,7 @@ def _scorer(cells: CountFilter):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 10,
-                max_broadcast: int = 512 << 20) -> DataFrame:
+                max_broadcast: int = 256 << 20) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Rows whose CRC-32 of the id (as text) is not 0 modulo ``held_out_mod`` train;
@@ -246,7 +238,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.coalesce(crc % held_out_mod == 0, F.lit(True)).alias("held_out"))
     cells = stored(_cells(_count_rows(rows.filter("not held_out").select("text"))), "lm-cells")
-    sizes = cells.select("kind", "cell", "distinct", "total", F.length("blob").alias("bytes")).collect()
+    sizes = cells.select("kind", "cell", "distinct", "total", "bits", F.length("blob").alias("bytes")).collect()
     total = sum(r["total"] for r in sizes if r["kind"] == 0)
     distinct = sum(r["distinct"] for r in sizes if r["kind"] == 0)
     spark, groups = docs.sparkSession, 1 << GROUP_BITS
@@ -265,9 +257,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         word_groups = set(firsts) | set(seconds) | {int(group_of(np.array([END]))[0])}
         group = F.shiftright("cell", SUB_BITS)
         held = cells.filter(((F.col("kind") == 0) & group.isin(sorted(word_groups)))
-                            | ((F.col("kind") == 1) & group.isin(list(firsts)))).collect()
-        shared = spark.sparkContext.broadcast(CountFilter([r.asDict() for r in held], firsts, seconds, total, distinct))
-        del held
+                            | ((F.col("kind") == 1) & group.isin(list(firsts))))
+        here = [r for r in sizes if r["cell"] >> SUB_BITS in (word_groups if r["kind"] == 0 else firsts)]
+        # at most max_broadcast bytes, fetched a partition at a time
+        shared = spark.sparkContext.broadcast(CountFilter(held.toLocalIterator(), here, firsts, seconds, total, distinct))
         if k:
             done = stored(done, f"lm-pass{k}")
         got = map_text(done, "text", fields, lambda shared=shared: _scorer(shared.value),

@@ -25,12 +25,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
+BATCH_BYTES = 8 << 20  # of the Arrow batches between the JVM and a Python worker
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, since texts differ in length a thousandfold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     This cuts lineage: a lost executor costs the running stage, never the
     steps before it, and every reader sees the same rows."""
     spark = df.sparkSession
+    small_batches(spark)
     path = path or scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -41,7 +50,7 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-CHUNK_BYTES = 24 << 20  # text handled at once inside a task
+CHUNK_BYTES = 8 << 20  # text handled at once inside a task
 
 
 def text_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
@@ -57,6 +66,14 @@ def text_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
             return
 
 
+def numbered_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, int]]:
+    """Slices of bounded size with the row at which each begins."""
+    done = 0
+    for part in text_chunks(text, limit):
+        yield part, done
+        done += len(part)
+
+
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
              make: Callable[[], Callable[[pa.Array], dict]], keep: Sequence[str] | None = None,
              only: str | None = None, bare: bool = False) -> DataFrame:
@@ -68,11 +85,13 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
     dropped before they leave the task; with ``bare`` the fields themselves are left
     out of the result.  Rows are never joined back, so null
     or repeated ids and clashing extra columns pass through unchanged."""
+    small_batches(df.sparkSession)
     kept = list(df.columns if keep is None else keep)
     fields = list(fields)
     slots = [f"c{i}" for i in range(len(kept))]
     source = df.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(kept, slots, strict=True)],
-                       F.col(f"`{text_col}`").cast("string").alias("t"))
+                       *([] if text_col in kept else [F.col(f"`{text_col}`").cast("string").alias("t")]))
+    text_slot = slots[kept.index(text_col)] if text_col in kept else "t"
     outs = [f"n{i}" for i in range(len(fields))]
     schema = T.StructType([T.StructField(s, df.schema[c].dataType) for c, s in zip(kept, slots, strict=True)]
                           + [T.StructField(o, f.dataType) for o, f in zip(outs, fields, strict=True)])
@@ -81,13 +100,14 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
         fn = make()
         for batch in batches:
             done = 0
-            for text in text_chunks(batch.column("t")):
+            for text in text_chunks(batch.column(text_slot).cast(pa.string())):
                 got = fn(text)
                 new = [a if isinstance(a, pa.Array) else pa.array(a) for a in (got[f.name] for f in fields)]
                 old = [batch.column(s).slice(done, len(text)) for s in slots]
                 out = pa.RecordBatch.from_arrays(old + new, names=slots + outs)
                 done += len(text)
                 yield out if only is None else out.filter(pa.array(got[only]))
+        pa.default_memory_pool().release_unused()  # the worker lives on, its next task may need less
 
     mapped = source.mapInArrow(run, schema)
     return mapped.select(*[F.col(s).alias(c) for c, s in zip(kept, slots, strict=True)],

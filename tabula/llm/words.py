@@ -66,3 +66,14 @@ def ragged_range(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     first = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - first, lengths)
+
+
+def pack48(keys: np.ndarray) -> bytes:
+    """The low six bytes of every key."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpack48(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
