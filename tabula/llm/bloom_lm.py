@@ -30,7 +30,9 @@ from pyspark.sql import types as T
 from tabula.llm.common import crc32_of, map_text, stored, text_chunks
 from tabula.llm.words import hash_words, mix64, pack48, split_words, unpack48
 
-GROUP_BITS, SUB_BITS = 5, 3      # 32 groups of words, 8 cells each
+GROUP_BITS = 5                   # 32 groups of words
+LEAST_SUB_BITS, MOST_SUB_BITS = 3, 11  # 8 cells or more a group, as the text asks
+CELL_TEXT = 4 << 20              # bytes of training text a cell stands for
 KEY_BITS = 48                    # of a bigram inside its cell
 BITS_PER_ENTRY, PROBES = 10, 4   # about 1.2 % false positives a level
 MU = 1000.0  # weight of the unigram; 300 to 3000 differ by 2 % on held-out text
@@ -69,10 +71,10 @@ def group_of(word: np.ndarray) -> np.ndarray:
     return (word >> np.uint64(64 - GROUP_BITS)).astype(np.int64)
 
 
-def bigram_key(prev: np.ndarray, cur: np.ndarray) -> np.ndarray:
+def bigram_key(prev: np.ndarray, cur: np.ndarray, sub_bits: int) -> np.ndarray:
     """Cell in the high bits, hash of the pair in the low ``KEY_BITS``."""
     pair = mix64(prev * MULT + cur)
-    cell = (prev >> np.uint64(64 - GROUP_BITS)) << np.uint64(SUB_BITS) | pair >> np.uint64(64 - SUB_BITS)
+    cell = (prev >> np.uint64(64 - GROUP_BITS)) << np.uint64(sub_bits) | pair >> np.uint64(64 - sub_bits)
     return cell << np.uint64(KEY_BITS) | pair & MASK
 
 
@@ -81,7 +83,7 @@ def _probe(key: np.ndarray, level: int, i: int, size: np.ndarray | np.uint64) ->
     return ((h & np.uint64(0xFFFFFFFF)) + np.uint64(i) * (h >> np.uint64(32) | np.uint64(1))) % size
 
 
-def _count_rows(texts: DataFrame) -> DataFrame:
+def _count_rows(texts: DataFrame, sub_bits: int) -> DataFrame:
     """``kind, cell, keys, counts`` per batch; kind 0 words, kind 1 bigrams."""
     schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("cell", T.IntegerType()),
                            T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
@@ -92,10 +94,10 @@ def _count_rows(texts: DataFrame) -> DataFrame:
                 cur, prev, _ = token_stream(text)
                 rows: list[tuple] = []
                 word, n = np.unique(cur, return_counts=True)
-                cell = (word >> np.uint64(64 - GROUP_BITS - SUB_BITS)).astype(np.int64)
+                cell = (word >> np.uint64(64 - GROUP_BITS - sub_bits)).astype(np.int64)
                 for c, lo, hi in _runs(cell):
                     rows.append((0, c, word[lo:hi].tobytes(), n[lo:hi].astype(np.uint32).tobytes()))
-                pair, n = np.unique(bigram_key(prev, cur), return_counts=True)
+                pair, n = np.unique(bigram_key(prev, cur, sub_bits), return_counts=True)
                 cell = (pair >> np.uint64(KEY_BITS)).astype(np.int64)
                 for c, lo, hi in _runs(cell):
                     rows.append((1, c, pack48(pair[lo:hi] & MASK), n[lo:hi].astype(np.uint32).tobytes()))
@@ -151,11 +153,12 @@ def _cells(counted: DataFrame) -> DataFrame:
 class CountFilter:
     """The broadcast cells: exact word counts, and bigram counts by probing."""
 
-    def __init__(self, cells: Iterable, sizes: list, firsts: range, seconds: range, total: int, distinct: int):
+    def __init__(self, cells: Iterable, sizes: list, firsts: range, seconds: range, total: int, distinct: int,
+                 sub_bits: int):
         """``sizes`` lists the cells that ``cells`` yields (in any order), without blobs:
         every array is allocated once and filled cell by cell."""
         self.firsts, self.seconds, self.total, self.distinct = firsts, seconds, total, distinct
-        n_cells = 1 << (GROUP_BITS + SUB_BITS)
+        self.sub_bits, n_cells = sub_bits, 1 << (GROUP_BITS + sub_bits)
         self.bits, self.base = np.zeros(n_cells, np.uint64), np.zeros(n_cells, np.uint64)
         place, at = {}, [0, 0]
         for r in sorted(sizes, key=lambda r: (r["kind"], r["cell"])):
@@ -180,7 +183,7 @@ class CountFilter:
 
     def bigrams(self, prev: np.ndarray, cur: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Smallest counts of the levels found; ``most`` bounds each from above."""
-        key = bigram_key(prev, cur)
+        key = bigram_key(prev, cur, self.sub_bits)
         cell = (key >> np.uint64(KEY_BITS)).astype(np.int64)
         key &= MASK
         limit, out = level_of(most), np.zeros(len(key), np.int64)
@@ -237,12 +240,15 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     crc = crc32_of(f"`{id_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.coalesce(crc % held_out_mod == 0, F.lit(True)).alias("held_out"))
-    cells = stored(_cells(_count_rows(rows.filter("not held_out").select("text"))), "lm-cells")
+    train = rows.filter("not held_out").select("text")
+    size = train.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    sub_bits = min(MOST_SUB_BITS, max(LEAST_SUB_BITS, (size // CELL_TEXT).bit_length() - GROUP_BITS))
+    cells = stored(_cells(_count_rows(train, sub_bits)), "lm-cells")
     sizes = cells.select("kind", "cell", "distinct", "total", "bits", F.length("blob").alias("bytes")).collect()
     total = sum(r["total"] for r in sizes if r["kind"] == 0)
     distinct = sum(r["distinct"] for r in sizes if r["kind"] == 0)
     spark, groups = docs.sparkSession, 1 << GROUP_BITS
-    by_group = [[sum(r["bytes"] for r in sizes if r["kind"] == k and r["cell"] >> SUB_BITS == g) for g in range(groups)]
+    by_group = [[sum(r["bytes"] for r in sizes if r["kind"] == k and r["cell"] >> sub_bits == g) for g in range(groups)]
                 for k in (0, 1)]
     blocks = 1
     while blocks < groups and max(_block_bytes(by_group, blocks)) > max_broadcast:
@@ -255,12 +261,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               T.StructField("p_base", T.DoubleType()), T.StructField("p_score", T.DoubleType())]
     for k, (firsts, seconds) in enumerate((a, b) for a in parts for b in parts):
         word_groups = set(firsts) | set(seconds) | {int(group_of(np.array([END]))[0])}
-        group = F.shiftright("cell", SUB_BITS)
+        group = F.shiftright("cell", sub_bits)
         held = cells.filter(((F.col("kind") == 0) & group.isin(sorted(word_groups)))
                             | ((F.col("kind") == 1) & group.isin(list(firsts))))
-        here = [r for r in sizes if r["cell"] >> SUB_BITS in (word_groups if r["kind"] == 0 else firsts)]
+        here = [r for r in sizes if r["cell"] >> sub_bits in (word_groups if r["kind"] == 0 else firsts)]
         # at most max_broadcast bytes, fetched a partition at a time
-        shared = spark.sparkContext.broadcast(CountFilter(held.toLocalIterator(), here, firsts, seconds, total, distinct))
+        shared = spark.sparkContext.broadcast(CountFilter(held.toLocalIterator(), here, firsts, seconds, total, distinct, sub_bits))
         if k:
             done = stored(done, f"lm-pass{k}")
         got = map_text(done, "text", fields, lambda shared=shared: _scorer(shared.value),
