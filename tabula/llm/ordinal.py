@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import bucket_sample, map_text
+from tabula.llm.common import bucket_sample, map_text, numbered_chunks
 from tabula.llm.words import hash_words, mix64, split_words
 
 BITS = 20
@@ -34,6 +34,7 @@ STEPS = 300
 RATE = 0.1
 DECAY = 2e-4
 DENSE = 2
+FIT_BYTES = 2 << 20  # text turned into features at once in fitting
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -90,17 +91,23 @@ class OrdinalModel:
 
 
 def fit(texts: list[str | None], grades: list[int], n_grades: int) -> OrdinalModel:
-    y = np.array(grades, np.int64)
-    who, bucket, value, dense = features(pa.array(texts, pa.string()))
-    held = np.bincount(bucket, minlength=1 << BITS)
+    y, array = np.array(grades, np.int64), pa.array(texts, pa.string())
+    # first pass, a slice at a time: in how many texts, and in how many below each grade, a bucket occurs
+    held, below = np.zeros(1 << BITS), np.zeros((n_grades, 1 << BITS))
+    for part, done in numbered_chunks(array, FIT_BYTES):
+        who, bucket, _, _ = features(part)
+        held += np.bincount(bucket, minlength=1 << BITS)
+        for k in range(1, n_grades):
+            below[k] += np.bincount(bucket, y[done + who] < k, 1 << BITS)
     useful = np.zeros(1 << BITS, bool)
     for k in range(1, n_grades):
         low = (y < k).mean()
         chance = np.sqrt(np.maximum(held * low * (1 - low), 1e-9))
-        useful |= np.abs(np.bincount(bucket, y[who] < k, 1 << BITS) - held * low) >= MIN_Z * chance
+        useful |= np.abs(below[k] - held * low) >= MIN_Z * chance
     useful &= held >= MIN_TEXTS
-    at = useful[bucket]
-    who, bucket, value = who[at], bucket[at], value[at]
+    got = [(done + who, bucket, value, dense) for part, done in numbered_chunks(array, FIT_BYTES)
+           for who, bucket, value, dense in [features(part, useful)]]
+    who, bucket, value, dense = (np.concatenate(x) for x in zip(*got, strict=True))
     kept, col = np.unique(bucket, return_inverse=True)
     centre = dense.mean(axis=0)
     dense = dense - centre
@@ -139,7 +146,7 @@ def document_grade() -> Column:
 
 
 def fit_on_labels(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, id_col: str = "doc_id", text_col: str = "text",
-                  grade_col: str = "grade", max_train: int = 8000) -> OrdinalModel | None:
+                  grade_col: str = "grade", max_train: int = 6000) -> OrdinalModel | None:
     """Fit on at most ``max_train`` rated rows, chosen by a hash of the id.  Rows with
     a null id, grade or text, and grades out of range, are not learned from; None without any."""
     rated = ratings.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade")) \
