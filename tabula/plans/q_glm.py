@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabula.functions.expressions import round_doubles
@@ -21,6 +22,7 @@ BASELINE = ("churn ~ C(segment) + senior + C(region) + tenure + C(phone) + C(mul
 ENHANCED = ("churn ~ C(segment) + senior + C(region) + num_services + num_addons + log_tenure"
             " + avg_charge_per_month + charge_per_service + auto_pay + log_tenure:avg_charge_per_month"
             " + senior:C(region)")
+COMBINED = BASELINE + " + log_tenure + auto_pay + senior:C(region)"
 NULL_MODEL = "churn ~ 1"
 DESIGN_FORMULA = "churn ~ C(segment) + tenure + tenure:monthly + I(tenure ** 2) + auto_pay:C(region)"
 
@@ -59,6 +61,18 @@ def formula_design(spark, sf_dir):
     return round_doubles(long.where(F.col("value") != 0), 6)
 
 
+def _fold_aucs(spark, sf_dir, formula):
+    """Held-out AUC of each of 5 shuffled stratified folds (seed 99)."""
+    d, names, resp, _ = DS.design_frame(CH.churn_table(spark, sf_dir), formula, keep=["id"])
+    d = SP.kfold(d, "id", 5, label=resp, seed=99).cache()
+    out = []
+    for k in range(5):
+        fit = G.fit_glm(d.where(F.col("fold") != k), names, resp)
+        out.append(float(ME.roc_auc(d.where(F.col("fold") == k).withColumn("p1", fit.predict()), resp, "p1").first()[0]))
+    d.unpersist()
+    return out
+
+
 @register("logit_coefficients")
 def logit_coefficients(spark, sf_dir):
     """Enhanced logit: coefficients, normal-theory errors, z, p, 95% interval."""
@@ -80,23 +94,24 @@ def logit_marginal_effects(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    """Baseline v enhanced logit: pseudo R2, AIC, BIC, llf, parameters, in-sample
-    AUC, and the enhanced - baseline delta row."""
+    """Baseline, enhanced and combined logit: pseudo R2, AIC, BIC, llf, parameters,
+    in-sample AUC, mean and deviation of the five held-out AUCs, and the enhanced - baseline delta row."""
     out = None
-    for name, formula in (("baseline", BASELINE), ("enhanced", ENHANCED)):
+    for name, formula in (("baseline", BASELINE), ("enhanced", ENHANCED), ("combined", COMBINED)):
         d, fit = _fit(spark, sf_dir, formula)
         auc = ME.roc_auc(d.withColumn("p1", fit.predict()), "churn", "p1").first()["roc_auc"]
+        folds = _fold_aucs(spark, sf_dir, formula)
         row = fit.summary(spark, name).select("model", "pseudo_r2", "aic", "bic", "llf", "num_params") \
-            .withColumn("roc_auc", F.lit(float(auc)))
+            .withColumns({"roc_auc": F.lit(float(auc)), "cv_mean": F.lit(float(np.mean(folds))), "cv_std": F.lit(float(np.std(folds)))})
         out = row if out is None else out.unionByName(row)
     wide = out.agg(*[F.max(F.when(F.col("model") == "enhanced", F.col(c))).alias(f"e_{c}") for c in
-                     ("pseudo_r2", "aic", "bic", "llf", "num_params", "roc_auc")],
+                     ("pseudo_r2", "aic", "bic", "llf", "num_params", "roc_auc", "cv_mean", "cv_std")],
                    *[F.max(F.when(F.col("model") == "baseline", F.col(c))).alias(f"b_{c}") for c in
-                     ("pseudo_r2", "aic", "bic", "llf", "num_params", "roc_auc")])
+                     ("pseudo_r2", "aic", "bic", "llf", "num_params", "roc_auc", "cv_mean", "cv_std")])
     delta = wide.select(F.lit("delta").alias("model"),
                         *[(F.col(f"e_{c}") - F.col(f"b_{c}")).cast(t).alias(c) for c, t in
                           (("pseudo_r2", "double"), ("aic", "double"), ("bic", "double"), ("llf", "double"),
-                           ("num_params", "int"), ("roc_auc", "double"))])
+                           ("num_params", "int"), ("roc_auc", "double"), ("cv_mean", "double"), ("cv_std", "double"))])
     return out.unionByName(delta)
 
 
@@ -177,16 +192,7 @@ def poisson_one_factor(spark, sf_dir):
 def logit_fold_auc(spark, sf_dir):
     """Refit the enhanced logit on each of 5 shuffled stratified folds (seed 99)
     and score the held-out fold: per-fold exact AUC, mean and population std."""
-    t = CH.churn_table(spark, sf_dir)
-    d, names, resp, _ = DS.design_frame(t, ENHANCED, keep=["id"])
-    d = SP.kfold(d, "id", 5, label=resp, seed=99).cache()
-    rows = []
-    for k in range(5):
-        fit = G.fit_glm(d.where(F.col("fold") != k), names, resp)
-        auc = ME.roc_auc(d.where(F.col("fold") == k).withColumn("p1", fit.predict()), resp, "p1").first()[0]
-        rows.append((k, float(auc)))
-    d.unpersist()
-    per = spark.createDataFrame(rows, "fold int, roc_auc double")
+    per = spark.createDataFrame(list(enumerate(_fold_aucs(spark, sf_dir, ENHANCED))), "fold int, roc_auc double")
     return per.agg(F.avg("roc_auc").alias("cv_mean"), F.stddev_pop("roc_auc").alias("cv_std"),
                    F.count(F.lit(1)).alias("n_folds"))
 
