@@ -12,6 +12,7 @@ of earlier tasks, so no length gathers its pieces in one task.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator, Sequence
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import stored
+from tabula.llm.common import numbered_chunks, stored
 from tabula.llm.words import ragged_range, split_words
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 CHUNK_WORDS = 1_000_000
 
 
@@ -111,20 +112,23 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.forget()
-
-    def forget(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.memo: dict[str, int] = {}  # word -> slot s, with ids[starts[s]:starts[s + 1]]
         self.size = 0
         self.starts = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
 
+    @staticmethod
+    @functools.cache
+    def of(spec: str) -> Encoder:
+        """The encoder of this worker process; the next task finds its words there."""
+        return Encoder(spec)
+
     def word_slots(self, words: list[str]) -> np.ndarray:
-        """Slot s of a word: its ids are ``ids[starts[s]:starts[s + 1]]``."""
+        """Slots of distinct words.  The first ``MEMO_WORDS`` words are remembered,
+        the slots of others hold until the next call."""
+        self.size = len(self.memo)
         new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS and self.memo:
-            self.forget()
-            new = words
+        held = dict.fromkeys(new, 0) if len(self.memo) + len(new) > MEMO_WORDS else self.memo
         for lo in range(0, len(new), 50_000):
             part = new[lo:lo + 50_000]
             got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
@@ -137,9 +141,10 @@ class Encoder:
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[at:at + len(flat)] = flat
             self.starts[self.size + 1:self.size + len(part) + 1] = at + np.cumsum(size)
-            self.memo.update(zip(part, range(self.size, self.size + len(part)), strict=True))
+            held.update(zip(part, range(self.size, self.size + len(part)), strict=True))
             self.size += len(part)
-        return np.fromiter((self.memo[w] for w in words), np.int64, len(words))
+        memo = self.memo
+        return np.fromiter((memo[w] if w in memo else held[w] for w in words), np.int64, len(words))
 
     def encode(self, text: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of every text, in blocks of bounded size."""
@@ -169,15 +174,15 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
                            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "task", "nth")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen = Encoder(spec.value), np.zeros(capacity + 1, np.int64)
+        encoder, seen = Encoder.of(spec.value), np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch, text, done in ((b, t, d) for b in batches for t, d in numbered_chunks(b.column(1))):
             rows: list[tuple[int, int, int, int, int, int]] = []
-            for i, ids in encoder.encode(batch.column(1)):
+            for i, ids in encoder.encode(text):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
-                    rows.append((i, k, start, len(part), zlib.crc32(part.tobytes()), seen[len(part)]))
+                    rows.append((done + i, k, start, len(part), zlib.crc32(part.tobytes()), seen[len(part)]))
                     seen[len(part)] += 1
             cols = np.array(rows, np.int64).reshape(-1, 6)
             yield pa.RecordBatch.from_arrays(
@@ -205,7 +210,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     table = np.array(sorted((r.length, r.first, r.each, r.bin0, r.offset) for r in runs), np.int64).reshape(-1, 5)
     span = np.int64(1) << 44
     shared = docs.sparkSession.sparkContext.broadcast((table, table[:, 0] * span + table[:, 1]))
-    numbered = pieces.join(per_task.drop("n"), ["length", "task"]) \
+    numbered = pieces.join(per_task.drop("n").hint("merge"), ["length", "task"]) \
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("before")).alias("rank"))
     schema = T.StructType([*numbered.schema.fields[:5], T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
