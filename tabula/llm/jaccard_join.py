@@ -2,15 +2,19 @@
 
 * A document is the sorted set of 64-bit hashes of its shingles.  Equal sets
   become one node; the node id is the smallest document id of the set.
-* Tiles.  Two sets that reach the threshold share a shingle among the first
-  ``size - ceil(t * size) + 1`` of each, in any common order.  The order used
-  puts shingles that are frequent in the corpus last, so a passage shared by many
-  documents opens no tile unless it is most of the document.  A tile is a shared
-  shingle and a size band; a band is as wide as the threshold allows two sizes to
-  differ, so partners lie in one band or in neighbouring ones.
-* Bounds.  Each set has a 512-bit parity bitmap.  Bits that differ between two
-  bitmaps need as many shingles in only one of the sets, which bounds the overlap
-  from above; only pairs that pass are intersected exactly.
+* Bands.  A size band is as wide as the threshold allows two sizes to differ, so
+  partners lie in one band or in neighbouring ones; a set therefore enters the group
+  of its own band and that of the next.
+* Tiles.  Partners in a group differ in at most D shingles, D following from the
+  threshold and the band.  A hash deals the shingles of each set to D + 3 segments; as a
+  differing shingle spoils one segment, partners have at least three equal segments.
+  A tile is the nodes of a group whose segment has the same content.  A segment
+  holds about six shingles, so sets that merely share a passage rarely meet.  (Empty
+  segments make tiles only for sets with three of them or more.)
+* Segments that one set only has are told apart first and cheaply, so few are shuffled.
+* Bounds.  Each set has a parity bitmap of at least as many bits as shingles.  Bits that
+  differ between two bitmaps need as many shingles in only one of the sets, which
+  bounds the overlap from above; only pairs that pass are intersected exactly.
 * Links within a large group are not enumerated: only connectivity is returned.
   First every member of a tile meets the tile's smallest node; tiles still
   holding more than one component are then joined pair by pair, across components
@@ -23,16 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import map_text, stored
+from tabula.llm.common import map_text, stored, text_chunks
+from tabula.llm.filters import fixed_filter, maybe_in, probably_in
 from tabula.llm.components import components
-from tabula.llm.words import Words, hash_words, mix64, ragged_range, split_words
+from tabula.llm.words import Words, hash_words, mix64, pack48, split_words, unpack48
 
-BITMAP = [f"m{i}" for i in range(8)]
-FREQUENT_KEPT = 1 << 17  # the order of shingles knows so many frequent ones (1 MB)
+LEAST_BITS = 512
+SPARE = 3          # equal segments that partners have at least
+NODES_PER_CELL = 1024
+MAX_CELL_BITS = 16
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,89 +82,144 @@ def set_digests(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
                  for c in (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D))
 
 
+def bitmap_bits(size: int) -> int:
+    """Bits of the bitmap of a set: a power of two, at least its size."""
+    return max(LEAST_BITS, 1 << max(0, int(size) - 1).bit_length())
+
+
 def parity_bitmap(one: np.ndarray) -> np.ndarray:
-    bits = (np.bincount((one & np.uint64(511)).astype(np.int64), minlength=512) & 1).astype(np.uint8)
+    n = bitmap_bits(len(one))
+    bits = (np.bincount((one & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
 
 
+def band_of(size: np.ndarray, percent: int) -> np.ndarray:
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(100 / percent) + 1e-9).astype(np.int64)
+
+
+def segments_of(group: np.ndarray, percent: int) -> np.ndarray:
+    """Segments in a group: SPARE more than two partners can differ in shingles."""
+    largest = np.ceil((100 / percent) ** (group + 1.0) * (1 + 1e-9))
+    return ((100 - percent) * 2 * largest // (100 + percent)).astype(np.int64) + SPARE
+
+
+def segment_keys(flat: np.ndarray, starts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit tile keys of every set, and the number of the set they belong to."""
+    size = np.diff(starts)
+    content, keys, owners = mix64(flat ^ np.uint64(0xD6E8FEB86659FD93)), [], []
+    for step in (0, 1):
+        group = band_of(size, percent) + step
+        count = np.where(size > 0, segments_of(group, percent), 0)
+        base = np.concatenate([[0], np.cumsum(count)])
+        owner = np.repeat(np.arange(len(size)), size)
+        at = base[owner] + ((flat >> np.uint64(7)) % np.maximum(count, 1)[owner].astype(np.uint64)).astype(np.int64)
+        total = np.zeros(base[-1], np.uint64)
+        np.add.at(total, at, content)
+        held = np.bincount(at, minlength=base[-1])
+        of = np.repeat(np.arange(len(size)), count)
+        empties = np.bincount(of, held == 0, len(size))
+        place = np.arange(base[-1]) - base[:-1][of]
+        key = mix64(total + mix64((group[of] << 32 | place).view(np.uint64) * MULT))
+        use = (held > 0) | (empties >= SPARE)[of]
+        keys.append(key[use])
+        owners.append(of[use])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
 def _digest_rows(docs: DataFrame, width: int) -> DataFrame:
-    """Per document its set's size and digests (kind 0); per batch the shingles that
-    a thousandth of its distinct sets, and four at least, hold (kind 1)."""
-    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("doc_id", T.LongType()),
-                           T.StructField("size", T.LongType()), T.StructField("d1", T.LongType()),
-                           T.StructField("d2", T.LongType())])
+    """Per document its set's size and digests."""
+    fields = [T.StructField(c, T.LongType()) for c in ("size", "d1", "d2")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, starts = shingle_sets(split_words(batch.column(1), lower=True), width)
-            size = np.diff(starts)
+    def make():
+        def fn(text: pa.Array) -> dict:
+            flat, starts = shingle_sets(split_words(text, lower=True), width)
             d1, d2 = set_digests(flat, starts)
-            _, once = np.unique(np.stack([d1, d2, size]), axis=1, return_index=True)
-            once.sort()
-            shingle, count = np.unique(flat[ragged_range(starts[once], size[once])], return_counts=True)
-            often = count >= max(4, len(once) // 1000)
-            k, n = int(often.sum()), len(size)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array([0, 1], np.int32), [n, k])),
-                 pa.concat_arrays([batch.column(0), pa.nulls(k, pa.int64())]),
-                 pa.array(np.concatenate([size, count[often]])),
-                 pa.array(np.concatenate([d1, shingle[often].view(np.int64)])),
-                 pa.array(np.concatenate([d2, np.zeros(k, np.int64)]))], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
-
-
-def _prefix_rows(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per document: set size, prefix in the common order, bitmap."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    fields = [T.StructField("size", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())),
-              *[T.StructField(m, T.LongType()) for m in BITMAP]]
+            return {"size": np.diff(starts), "d1": d1, "d2": d2}
+
+        return fn
+
+    return map_text(docs, "text", fields, make, keep=["doc_id"])
+
+
+def _shared_keys(texts: DataFrame, width: int, percent: int, cell_bits: int) -> DataFrame:
+    """Tile keys that two sets or more have: column ``key48`` (their high bits).
+
+    A batch sends its keys as one binary row per cell, six bytes each, and a cell
+    task keeps those that occur twice; the tiles decide exactly."""
+    shift = np.uint64(64 - cell_bits - 48)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for text in (t for b in batches for t in text_chunks(b.column(0))):
+            keys, _ = segment_keys(*shingle_sets(split_words(text, lower=True), width), percent)
+            keys.sort()
+            cell = (keys >> np.uint64(64 - cell_bits)).astype(np.int64)
+            cut = np.flatnonzero(np.diff(cell)) + 1
+            runs = list(zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(keys)]]), strict=True)) if len(keys) else []
+            yield pa.RecordBatch.from_arrays([pa.array([int(cell[lo]) for lo, _ in runs], pa.int32()),
+                                              pa.array([pack48(keys[lo:hi] >> shift) for lo, hi in runs], pa.binary())], names=["cell", "held"])
+
+    def twice(table: pa.Table) -> pa.Table:
+        held = np.sort(np.concatenate([unpack48(b) for b in table["held"].to_pylist()]))
+        again = np.unique(held[1:][held[1:] == held[:-1]])
+        return pa.table({"key48": (again | np.uint64(table["cell"][0].as_py()) << np.uint64(48)).view(np.int64)})
+
+    return texts.select("text").mapInArrow(send, "cell int, held binary").groupBy("cell").applyInArrow(twice, "key48 long")
+
+
+def _tile_rows(texts: DataFrame, width: int, percent: int, cell_bits: int, shared: Broadcast) -> DataFrame:
+    """Per document: set size, the tile keys that may be shared, bitmap (null without such keys)."""
+    shift = np.uint64(64 - cell_bits - 48)
+    fields = [T.StructField("size", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType())),
+              T.StructField("bits", T.ArrayType(T.LongType())), T.StructField("meets", T.BooleanType())]
 
     def make():
-        frequent = shared.value
+        held = shared.value
 
         def fn(text: pa.Array) -> dict:
             flat, starts = shingle_sets(split_words(text, lower=True), width)
-            if len(frequent):
-                rare = frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] != flat
-            else:
-                rare = np.ones(len(flat), bool)
-            size = np.diff(starts)
-            want = np.where(size > 0, size + (-percent * size // 100) + 1, 0)  # size - ceil(t size) + 1
-            heads, maps = [], np.zeros((len(size), len(BITMAP)), np.int64)
-            for i, (s, n, w) in enumerate(zip(starts, size, want, strict=False)):
-                one, r = flat[s:s + n], rare[s:s + n]
-                head = one[r][:w]
-                if len(head) < w:
-                    head = np.concatenate([head, one[~r][:w - len(head)]])
-                heads.append(head)
-                maps[i] = parity_bitmap(one)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(want)]).astype(np.int32)),
-                pa.array(np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)))
-            return {"size": size, "prefix": lists} | {m: maps[:, j] for j, m in enumerate(BITMAP)}
+            keys, owner = segment_keys(flat, starts, percent)
+            may = probably_in(held, (keys >> shift).view(np.int64))
+            keys, owner = keys[may], owner[may]
+            order = np.argsort(owner, kind="stable")
+            keys, per = keys[order], np.bincount(owner, minlength=len(text))
+            ends = np.concatenate([[0], np.cumsum(per)])
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys.view(np.int64)))
+            bits = [parity_bitmap(flat[s:e]) if n else None for s, e, n in zip(starts[:-1], starts[1:], per, strict=True)]
+            return {"size": np.diff(starts), "keys": lists, "bits": pa.array(bits, pa.list_(pa.int64())), "meets": per > 0}
 
         return fn
 
-    return map_text(docs, "text", fields, make, keep=["doc_id"])
+    return map_text(texts, "text", fields, make, keep=["doc_id"], only="meets")
 
 
 def _may_link(percent: int) -> Column:
     """What sizes and bitmaps allow: differing bits bound the symmetric difference
-    from below, and the overlap is (sizes - difference) / 2."""
-    differ = sum((F.bit_count(F.col(f"a{m}").bitwiseXOR(F.col(f"b{m}"))) for m in BITMAP), F.lit(0))
+    from below, and the overlap is (sizes - difference) / 2.  The wider of two bitmaps
+    is folded to the width of the other."""
+    def folded(one: str, other: str) -> Column:
+        half = (F.size(one) / 2).cast("int")
+        fold = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(one) == 2 * F.size(other), fold).otherwise(F.col(one))
+
+    differ = F.aggregate(F.zip_with(folded("abits", "bbits"), folded("bbits", "abits"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda acc, x: acc + x)
     total = F.col("asize") + F.col("bsize")
-    sizes = (F.least("asize", "bsize") * 100 >= F.greatest("asize", "bsize") * percent)
-    return sizes & (((total - differ) * (100 + percent)) >= total * 2 * percent)
+    sizes = F.least("asize", "bsize") * 100 >= F.greatest("asize", "bsize") * percent
+    # the bound is only read where the sizes agree, and then widths differ by a factor of two at most
+    return F.when(sizes, (total - differ) * (100 + percent) >= total * 2 * percent).otherwise(F.lit(False))
 
 
 def _side(nodes: DataFrame, name: str) -> DataFrame:
-    return nodes.select(F.col("node").alias(name), F.col("size").alias(f"{name}size"),
-                        *[F.col(m).alias(f"{name}{m}") for m in BITMAP])
+    return nodes.select(F.col("node").alias(name), F.col("size").alias(f"{name}size"), F.col("bits").alias(f"{name}bits"))
 
 
-def _exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that reach the threshold, by intersecting sorted arrays."""
+def _exact_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that reach the threshold, by intersecting sorted arrays,
+    which are made again from the texts of just these documents."""
+    pairs = stored(pairs, "jaccard-pairs")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-wanted")
+    chosen = maybe_in(texts, fixed_filter(wanted, "doc_id"), "doc_id").join(wanted, "doc_id", "left_semi")
+    sets = stored(_sets(chosen, width), "jaccard-arrays")
     full = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b").select("a", "b", "ha", "hb")
 
@@ -184,57 +247,50 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     links nothing.  An empty table gives an empty result.  Equality of shingles is
     that of their 64-bit hashes."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    digests = stored(_digest_rows(texts, width), "jaccard-digests")
-    rows = digests.filter("kind = 0").drop("kind")
-    top = digests.filter("kind = 1").groupBy("d1").agg(F.sum("size").alias("n")).filter("n >= 8") \
-        .orderBy(F.desc("n"), "d1").limit(FREQUENT_KEPT).select("d1").collect()
-    frequent = np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
-
+    rows = stored(_digest_rows(texts, width), "jaccard-digests")
     same = stored(rows.filter("size > 0 and doc_id is not null").groupBy("size", "d1", "d2")
                   .agg(F.min("doc_id").alias("node")), "jaccard-sets")
-    heads = _prefix_rows(texts, width, percent, frequent)
-    nodes = heads.join(same.select(F.col("node").alias("doc_id")), "doc_id", "left_semi") \
-        .withColumnRenamed("doc_id", "node").dropDuplicates(["node", "size", *BITMAP])
-    nodes = stored(nodes, "jaccard-nodes")
-
-    tile = nodes.select("node", F.explode("prefix").alias("tile"))
+    cell_bits = min(MAX_CELL_BITS, max(8, (same.count() // NODES_PER_CELL).bit_length()))
+    # one text per set goes on (a few copies may pass the filter; the join below is exact)
+    first = maybe_in(texts, fixed_filter(same, "node"), "doc_id")
+    shared = fixed_filter(_shared_keys(first, width, percent, cell_bits), "key48")
+    found = _tile_rows(first, width, percent, cell_bits, shared).drop("meets").withColumnRenamed("doc_id", "node")
+    found = found.join(same.select("node", F.col("size").alias("own")).hint("merge"), "node") \
+        .filter("size = own").drop("own").dropDuplicates(["node"])
+    nodes = stored(found, "jaccard-nodes")
+    small = nodes.drop("keys")
+
+    tile = nodes.select("node", F.explode("keys").alias("tile"))
     tiles = stored(tile.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).filter("n > 1"),
                    "jaccard-tiles")
-    members = stored(tile.join(tiles, "tile").select("tile", "n", "node", "hub"), "jaccard-members")
+    members = stored(tile.join(tiles.hint("merge"), "tile").select("tile", "n", "node", "hub"), "jaccard-members")
     star = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    small = nodes.drop("prefix")
     star = stored(star.join(_side(small, "a"), "a").join(_side(small, "b"), "b").select("a", "b", _may_link(percent).alias("may")),
                   "jaccard-star")
-
-    # tiles of three or more may still hold pairs that the star did not compare
-    inner = members.filter("n > 2").select("node").distinct()
-    wanted = star.filter("may").select(F.explode(F.array("a", "b")).alias("node")).union(inner).distinct()
-    chosen = texts.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = stored(_sets(chosen, width), "jaccard-arrays")
-    links = stored(_exact_links(star.filter("may").select("a", "b"), sets, percent), "jaccard-links")
+    links = stored(_exact_links(star.filter("may").select("a", "b"), texts, width, percent), "jaccard-links")
     label = components(links)
 
+    # tiles of three or more may still hold pairs that the star did not compare
     named = stored(members.filter("n > 2").join(label, "node", "left")
                    .select("tile", "node", F.coalesce("comp", "node").alias("comp")), "jaccard-named")
-    mixed = stored(named.groupBy("tile").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y").select("tile"),
-                   "jaccard-mixed")
-    band = F.floor(F.log(F.col("size").cast("double")) / np.log(100 / percent) + 1e-9)
-    open_rows = named.join(mixed, "tile", "left_semi").join(small, "node") \
-        .withColumn("band", F.explode(F.array(band, band + 1)))
-    open_rows = stored(open_rows, "jaccard-open")
-    a = open_rows.select("tile", "band", F.col("node").alias("a"), F.col("comp").alias("acomp"), F.col("size").alias("asize"),
-                         *[F.col(m).alias(f"a{m}") for m in BITMAP])
-    b = open_rows.select("tile", "band", F.col("node").alias("b"), F.col("comp").alias("bcomp"), F.col("size").alias("bsize"),
-                         *[F.col(m).alias(f"b{m}") for m in BITMAP])
-    across = a.join(b, ["tile", "band"]).filter("a < b and acomp <> bcomp").filter(_may_link(percent)) \
-        .select("a", "b").distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
+    per = named.groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("k"))
+    mixed = stored(per.groupBy("tile").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("most"))
+                   .filter("comps > 1").select("tile", F.col("most.comp").alias("main")), "jaccard-mixed")
+    open_rows = stored(named.join(mixed.hint("merge"), "tile").join(small, "node"), "jaccard-open")
+    a, b = (open_rows.select("tile", F.col("node").alias(x), F.col("comp").alias(f"{x}comp"), F.col("size").alias(f"{x}size"),
+                             F.col("bits").alias(f"{x}bits"), (F.col("comp") == F.col("main")).alias(f"{x}main")) for x in ("a", "b"))
+    # a pair across components has a side outside the tile's largest one, which is large only
+    # where its members are linked: the nodes outside meet all, and each other once
+    met = a.filter("not amain").join(b.hint("merge"), "tile").filter("acomp <> bcomp and (bmain or a < b)").filter(_may_link(percent))
+    across = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() \
+        .join(star.select("a", "b"), ["a", "b"], "left_anti")
     across = stored(across, "jaccard-across")
-    more = stored(_exact_links(across, sets, percent), "jaccard-more")
+    more = stored(_exact_links(across, texts, width, percent), "jaccard-more")
     if not more.isEmpty():
         label = components(links.union(more))
     owner = same.join(label, "node", "left").select("size", "d1", "d2", F.coalesce("comp", "node").alias("comp"))
     owner = stored(owner, "jaccard-owner")
-    out = rows.join(owner, ["size", "d1", "d2"], "left")
+    out = rows.join(owner.hint("merge"), ["size", "d1", "d2"], "left")
     comp = F.when(F.col("doc_id").isNotNull(), F.when(F.col("size") > 0, F.col("comp")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("size").alias("n_shingles"), comp.alias("component_id"))
 

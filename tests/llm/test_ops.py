@@ -271,10 +271,25 @@ def test_parity_bound_never_understates():
     for _ in range(200):
         a, b = (np.unique(rng.integers(0, 400, 200, dtype=np.uint64)) for _ in range(2))
         a, b = jaccard_join.mix64(a), jaccard_join.mix64(b)
-        differ = sum(bin(int(x) & (2 ** 64 - 1)).count("1") for x in jaccard_join.parity_bitmap(a) ^ jaccard_join.parity_bitmap(b))
+        differ = sum((int(x) & (2 ** 64 - 1)).bit_count() for x in jaccard_join.parity_bitmap(a) ^ jaccard_join.parity_bitmap(b))
         assert len(np.intersect1d(a, b)) <= (len(a) + len(b) - differ) / 2
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_partners_share_a_segment(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(400):
+        n = int(rng.integers(1, 120)) if rng.random() < 0.7 else int(rng.integers(120, 1500))
+        a = np.unique(rng.integers(0, 2 ** 63, n, dtype=np.uint64))
+        drop, add = (int(rng.integers(0, max(1, n * (100 - percent) // 100) + 1)) for _ in range(2))
+        b = np.unique(np.concatenate([a[drop:], rng.integers(0, 2 ** 63, add, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if not len(b) or 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        keys, owner = jaccard_join.segment_keys(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), percent)
+        assert len(np.intersect1d(keys[owner == 0], keys[owner == 1]))
+
+
 def pages(spark):
     big, other = "é" * 600, "z" * 1000
     rows = [(1, "http://www.B.com:80/x#f", big), (2, "https://a.b.com/", big), (3, None, "s"), (4, "u v\r\nw", "s"), (5, "http://c.org", other),
