@@ -117,7 +117,7 @@ APPROXIMATIONS = {
     "SAMME.R": "refused (discrete boosting only)",
     "ridge solver": "ignored: the exact Gram solve is used",
     "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
-    "svm kernels": "rbf by 100 random Fourier features, poly by explicit polynomial expansion, then a linear fit",
+    "svm kernels": "rbf by random Fourier features (parameter rff_components, 100 unless given), poly by explicit polynomial expansion, then a linear fit",
 }
 
 
@@ -206,7 +206,8 @@ def _svm_c(p, n):
         svc = ScaledC(C=float(p["C"]), model="svm", maxIter=int(p["max_iter"]), tol=float(p["tol"]))
         return svc
     if p["kernel"] == "rbf":
-        mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]))
+        mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]),
+                                       components=int(p.get("rff_components", 100)))
     else:
         mapper = PolynomialExpansion(inputCol="features", outputCol="__kfeat", degree=int(p["degree"]))
     return Pipeline(stages=[mapper, svc])
@@ -252,7 +253,8 @@ def _svr(p, n):
     if p["kernel"] == "linear":
         return LinearSVR(**kw)
     if p["kernel"] == "rbf":
-        mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]))
+        mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]),
+                                       components=int(p.get("rff_components", 100)))
     else:
         mapper = PolynomialExpansion(inputCol="features", outputCol="__kfeat", degree=int(p["degree"]))
     return Pipeline(stages=[mapper, LinearSVR(featuresCol="__kfeat", **kw)])
