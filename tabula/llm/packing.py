@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from tabula.llm.common import numbered_chunks, stored
 from tabula.llm.words import ragged_range, split_words
 
-MEMO_WORDS = 300_000
-CHUNK_WORDS = 1_000_000
+MEMO_WORDS = 200_000
+CHUNK_WORDS = 200_000
 
 
 @dataclass
@@ -189,6 +189,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
                 [batch.column(0).take(pa.array(cols[:, 0])), pa.array(cols[:, 1].astype(np.int32)),
                  *[pa.array(cols[:, j]) for j in (2, 3, 4)], pa.array(np.full(len(cols), task)), pa.array(cols[:, 5])],
                 names=schema.names)
+        pa.default_memory_pool().release_unused()  # the worker lives on, its next task may need less
 
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
 
