@@ -37,7 +37,7 @@ from tabula.llm.filters import fixed_filter, maybe_in, probably_in
 from tabula.llm.components import components
 from tabula.llm.words import Words, hash_words, mix64, pack48, split_words, unpack48
 
-LEAST_BITS = 512
+LEAST_BITS = 1024  # sets of up to as many shingles, most of them, have bitmaps of one width
 SPARE = 3          # equal segments that partners have at least
 NODES_PER_CELL = 1024
 MAX_CELL_BITS = 16
@@ -201,8 +201,12 @@ def _may_link(percent: int) -> Column:
         fold = F.zip_with(F.slice(one, F.lit(1), half), F.slice(one, half + 1, half), lambda x, y: x.bitwiseXOR(y))
         return F.when(F.size(one) == 2 * F.size(other), fold).otherwise(F.col(one))
 
-    differ = F.aggregate(F.zip_with(folded("abits", "bbits"), folded("bbits", "abits"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda acc, x: acc + x)
+    usual = LEAST_BITS // 64
+    plain = sum((F.bit_count(F.get("abits", F.lit(i)).bitwiseXOR(F.get("bbits", F.lit(i)))) for i in range(usual)), F.lit(0))
+    wide = F.aggregate(F.zip_with(folded("abits", "bbits"), folded("bbits", "abits"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                       F.lit(0), lambda acc, x: acc + x)
+    # the usual width is compared in generated code, without functions on arrays
+    differ = F.when((F.size("abits") == usual) & (F.size("bbits") == usual), plain).otherwise(wide)
     total = F.col("asize") + F.col("bsize")
     sizes = F.least("asize", "bsize") * 100 >= F.greatest("asize", "bsize") * percent
     # the bound is only read where the sizes agree, and then widths differ by a factor of two at most
