@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import bucket_sample, crc32_of, map_text
+from tabula.llm.common import bucket_sample, crc32_of, map_text, text_chunks
 from tabula.llm.words import mix64, ragged_range, split_words
 
 BUCKET_BITS = 16
@@ -30,6 +30,7 @@ GRAMS = (2, 3, 4)
 EPOCHS = 3
 RATE = 0.5
 PRECISION = 0.99
+FIT_BYTES = 2 << 20  # text turned into subwords at once in fitting
 NONE = "und"
 
 
@@ -108,18 +109,19 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 1 / WIDTH, (1 << BUCKET_BITS, WIDTH))
     out, bias = np.zeros((WIDTH, len(names))), np.zeros(len(names))
-    words = split_words(pa.array(texts, pa.string()))
-    grams, starts = word_grams(words.vocab)
     held = rng.permutation(len(texts))
     n_left = len(texts) // 5
     left, used = held[:n_left], held[n_left:]
     bags = []
-    for i in range(len(texts)):
-        code, n = np.unique(words.codes[words.starts[i]:words.starts[i + 1]], return_counts=True)
-        size = starts[code + 1] - starts[code]
-        share = np.bincount(grams[ragged_range(starts[code], size)], np.repeat(n, size).astype(float), 1 << BUCKET_BITS)
-        bucket = np.flatnonzero(share)
-        bags.append((bucket.astype(np.int32), (share[bucket] / max(1.0, share.sum())).astype(np.float32)))
+    for part in text_chunks(pa.array(texts, pa.string()), FIT_BYTES):
+        words = split_words(part)
+        grams, starts = word_grams(words.vocab)
+        for i in range(len(part)):
+            code, n = np.unique(words.codes[words.starts[i]:words.starts[i + 1]], return_counts=True)
+            size = starts[code + 1] - starts[code]
+            share = np.bincount(grams[ragged_range(starts[code], size)], np.repeat(n, size).astype(float), 1 << BUCKET_BITS)
+            bucket = np.flatnonzero(share)
+            bags.append((bucket.astype(np.uint16), (share[bucket] / max(1.0, share.sum())).astype(np.float32)))
     step, steps = 0, max(1, EPOCHS * len(used))
     for _ in range(EPOCHS):
         for i in rng.permutation(used):
@@ -137,7 +139,8 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
             table[bucket] -= rate * len(names) * share[:, None] * back
     model = LanguageModel(names, (table @ out).astype(np.float32), bias, 1.0, 0.0)
     if n_left and len(names) > 1:
-        z, lettered = model.text_logits(pa.array([texts[i] for i in left], pa.string()))
+        parts = [model.text_logits(p) for p in text_chunks(pa.array([texts[i] for i in left], pa.string()), FIT_BYTES)]
+        z, lettered = (np.concatenate(x) for x in zip(*parts, strict=True))
         z, truth = z[lettered], y[left][lettered]
         if len(truth):
             loss = {t: -np.log(softmax(z * t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in np.geomspace(0.1, 20, 60)}
@@ -151,7 +154,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       mod: int = 4, held_out: int = 2, max_train: int = 6000) -> DataFrame:
+                       mod: int = 4, held_out: int = 2, max_train: int = 5000) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, accepted`` for every row.
 
     Rows whose CRC-32 of the id (as text) is ``held_out`` modulo ``mod``, and rows
