@@ -26,7 +26,7 @@ from tabula.llm.common import map_text
 from tabula.llm.words import split_words
 
 NO_RANK = np.iinfo(np.int64).max
-MEMO_WORDS = 1_000_000  # words remembered in a task; the memo starts anew beyond it
+MEMO_WORDS = 300_000  # words remembered in a task; the memo starts anew beyond it
 
 
 @dataclass
