@@ -5,13 +5,14 @@ hash six of about ten consecutive words and ignore the others, so a hit survives
 substitutions at the ignored places.  Test items are hashed on the driver in blocks
 of bounded size and broadcast; documents are hashed in Arrow batches and looked up
 first in a bit table, then in the sorted hashes.  Around every hit the document and
-the item are compared word by word along their common diagonal, and the best run
+the item are compared word by word along their common diagonal, and the longest run
 with at least the wanted share of equal words decides.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +80,15 @@ def seed_table(ids: list[int], texts: list[str]) -> SeedTable:
 
 
 def best_run(equal: np.ndarray, share: float) -> tuple[int, int]:
-    """The run with the largest score where an equal word earns 1 - share and another
-    costs share; no run of score 0 or more has a smaller share of equal words."""
-    total = np.concatenate([[0.0], np.cumsum(np.where(equal, 1 - share, -share))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.flatnonzero(total[:end + 1] == low[end])[-1])
-    return start, end
+    """The longest run with at least the share of equal words, the first of equally
+    long ones.  In whole numbers an equal word earns den - num and another costs num,
+    so that a run has the share exactly when its score is 0 or more."""
+    num, den = Fraction(share).limit_denominator(1_000_000).as_integer_ratio()
+    total = np.concatenate([[0], np.cumsum(np.where(equal, den - num, -num))])
+    # per end, the first start that is not higher
+    start = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+    end = int(np.argmax(np.arange(len(total)) - start))
+    return int(start[end]), end
 
 
 def find_overlaps(seeds: SeedTable, word: np.ndarray, starts: np.ndarray, min_words: int,
@@ -121,7 +124,8 @@ def mark_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     and number of words of the overlap (in words that have a letter or digit), and how many are equal.
 
     An overlap needs ``min_words`` words (or the whole item, if shorter), of which
-    ``share`` are equal.  Items of fewer words than the shortest mask (9), null or
+    ``share`` are equal, and the longest such run of a diagonal is given (of several diagonals, the one with most
+    equal words).  It is looked for where a seed hits: six equal words at the places of a mask.  Items of fewer words than the shortest mask (9), null or
     empty ones match nothing, nor do items without an id; null and empty documents get an empty list.  Rows, ids
     and other columns pass through unchanged."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("t")) \

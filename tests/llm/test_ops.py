@@ -389,6 +389,34 @@ def test_overlaps_equal_a_scan_of_all_diagonals():
     assert missed <= 1  # a seed of six equal places is needed
 
 
+def test_every_long_enough_run_with_the_share_is_an_overlap():
+    """Against an enumeration of all windows."""
+    rng = random.Random(12)
+    lost = 0
+    for _ in range(300):
+        n = rng.choice((9, 12, 15, 20, 40))
+        item = [f"w{i}" for i in range(n)]
+        doc = [w if rng.random() > 0.2 else "qq" for w in item]
+        equal = [a == b for a, b in zip(doc, item, strict=True)]
+        windows = [(e - s, s) for s in range(n) for e in range(s + 1, n + 1) if 4 * sum(equal[s:e]) >= 3 * (e - s)]
+        long = [w for w in windows if w[0] >= min(12, n)]
+        seeds = decontam.seed_table([0], [" ".join(item)])
+        got = decontam.find_overlaps(seeds, *decontam.plain_words(pa.array([" ".join(doc)])), 12, 0.75)[0]
+        assert bool(got) <= bool(long)
+        if got:
+            size = max(w[0] for w in long)
+            start = min(s for w, s in long if w == size)
+            assert got == [(0, start, size, sum(equal[start:start + size]))]
+        hit = any(all(c == "0" or equal[p + j] for j, c in enumerate(m)) for m in decontam.MASKS for p in range(n - len(m) + 1))
+        lost += bool(long) and hit and not got
+    assert lost == 0
+    item = [f"w{i}" for i in range(15)]
+    for k in range(15):
+        doc = " ".join([*item[:k], "qq", *item[k + 1:]])
+        seeds = decontam.seed_table([7], [" ".join(item)])
+        assert decontam.find_overlaps(seeds, *decontam.plain_words(pa.array([doc])), 12, 0.75) == [[(7, 0, 15, 14)]]
+
+
 def test_language_id(spark, odd, empty):
     rng = random.Random(6)
     sound = {"aa": "bcd", "zz": "xyw"}
