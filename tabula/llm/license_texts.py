@@ -77,3 +77,26 @@ FRAMES = ("Licensed under {}", "Licensed under the {}", "Released under {}", "Re
 def notices() -> list[tuple[str, str]]:
     """Every name of every licence in every frame."""
     return [(spdx, frame.format(name)) for spdx, names in NAMES.items() for name in names for frame in FRAMES]
+
+
+def variants() -> list[tuple[str, str]]:
+    """Usual other forms of the whole texts: without the title, BSD with bullets for numbers
+    and with the older third clause."""
+    out = []
+    for spdx, text in FULL_TEXTS.items():
+        title, body = text.split("\n", 1)
+        bodies = [body]
+        if spdx.startswith("BSD"):
+            thirds = [_BSD_THIRD] if spdx == "BSD-3-Clause" else [""]
+            if spdx == "BSD-3-Clause":
+                thirds += [_BSD_THIRD.replace("the copyright holder nor the names of its", who)
+                           for who in ("the copyright holders nor the names of its", "the University nor the names of its",
+                                       "the copyright holder nor the names of their", "the copyright owner nor the names of its")]
+            numbered = [_BSD_HEAD + third + _BSD_END for third in thirds]
+            bodies = [form for x in numbered for form in (x, x.replace("\n1. ", "\n* ").replace("\n2. ", "\n* ").replace("3. N", "* N"))]
+        heads = [title, {"MIT": "The MIT License (MIT)", "BSD-3-Clause": "BSD 3-Clause \"New\" or \"Revised\" License",
+                         "BSD-2-Clause": "BSD 2-Clause \"Simplified\" License"}.get(spdx, title), ""]
+        if spdx == "MIT":
+            heads.append("The MIT License")
+        out += [(spdx, f"{head}\n{x}") for x in bodies for head in dict.fromkeys(heads)]
+    return out

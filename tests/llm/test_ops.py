@@ -5,8 +5,10 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -453,6 +455,34 @@ def test_license_scan(spark, odd, empty):
     assert licenses.scan_licenses(odd).count() == len(odd_rows()) and licenses.scan_licenses(empty).count() == 0
 
 
+def test_whole_licenses(spark):
+    folder = pathlib.Path("/usr/share/common-licenses")
+    found = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0",
+             "CC0-1.0": "CC0-1.0"}
+    docs = []
+    for name, spdx in found.items():
+        if (folder / name).exists():
+            text = (folder / name).read_text()
+            wrapped = [" ".join(x.split()) for x in text.split("\n\n") if "opyright (C)" not in x and "opyright [" not in x]
+            docs += [(text, spdx), (text.replace("\n", "\r\n").upper(), spdx), (text + "\nadded", None),
+                     (text.replace(" the ", " a ", 1), None)]
+            if name in ("MPL-2.0", "CC0-1.0"):
+                docs += [("\n".join(wrapped), spdx), ("\n".join(y for x in wrapped for y in textwrap.wrap(x, 50)), spdx)]
+    mit, bsd2, bsd3 = (licenses.FULL_TEXTS[k].split("\n", 1)[1] for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause"))
+    holders = "Copyright (c) 2020 Some One\nAll rights reserved.\nCopyright (c) 2021 Other\nAll Rights Reserved\n\n"
+    docs += [("Copyright 2020 Me\n\n" + mit, "MIT"), ("The MIT License (MIT)\n\nCopyright (c) 2020 Me\n\n" + mit, "MIT"),
+             (holders + bsd2, "BSD-2-Clause"), (holders + bsd3, "BSD-3-Clause"), ("BSD 3-Clause License\n" + holders + bsd3, "BSD-3-Clause"),
+             (holders + bsd3.replace("\n1. ", "\n* ").replace("\n2. ", "\n* ").replace("\n3. ", "\n* "), "BSD-3-Clause"),
+             ("\n".join(textwrap.wrap(holders + "Do as you like with it. Copyright notices stay where they are.", 30)), None),
+             ("All rights reserved.", None), ("House licence: you may read this\ntext on Mondays", "House"), (bsd2 + "All rights", None)]
+    extra = spark.createDataFrame([("House", "House license\nyou may read this text on mondays"), ("None", ""), ("None", None), (None, "x"),
+                                   ("Other", "House license you may read this text on mondays")], "license string, text string")
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan_licenses(df, extra=extra).collect()}
+    assert got == {i: x for i, (_, x) in enumerate(docs)}
+    assert {r.license for r in licenses.scan_licenses(df).collect()} == {x for _, x in docs} - {"House"}
+
+
 def rows_digest(rows, doc):
     return next(r.text_digest for r in rows if r.doc_id == doc)
 
