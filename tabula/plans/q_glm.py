@@ -201,7 +201,7 @@ def logit_fold_auc(spark, sf_dir):
 
 SEARCH_FORMULA = ("churn ~ C(segment) + C(region) + C(security) + senior + auto_pay + log_tenure + avg_charge_per_month"
                   " + charge_per_service + num_addons + log_tenure:avg_charge_per_month + senior:C(region)")
-GROUP_TRIALS = 12  # a parameter of the query; group_search itself defaults to 80
+GROUP_TRIALS = 80  # as group_search itself
 
 
 def _group_trials(spark, sf_dir):
