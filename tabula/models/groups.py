@@ -11,20 +11,16 @@ from __future__ import annotations
 
 import json
 import re
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabula.models.estimators import ScaledC
+from tabula.models import batched_logistic as BL
 from tabula.models.registry import P, sample
-from tabula.models.search import evaluate
+from tabula.models.search import logistic_candidate
 from tabula.operators.design import parse
-from tabula.operators.features import PopulationScaler
 
 # fixed values: the tuned parameters of the group search
 GROUP_SPACE = [P("penalty", "cat", choices=("l1", "l2", "elasticnet")), P("C", "float", 1e-3, 100.0, log=True),
@@ -51,7 +47,7 @@ def term_groups(formula: str, names: list[str]) -> tuple[dict[str, list[str]], l
 
 def group_search(spark: SparkSession, data: DataFrame, label: str, groups: dict[str, list[str]],
                  always_on: list[str], n_trials: int = 80, seed: int = 42, fold_col: str = "fold", k: int = 5,
-                 max_iter: int = 500, parallelism: int = 4) -> DataFrame:
+                 max_iter: int = 500) -> DataFrame:
     """Trials ``(trial, value, cv_std, n_features, C, penalty, l1_ratio, groups, use_<group>...)``."""
     optional = [g for g in groups if g not in always_on]
     rng = np.random.default_rng(seed)
@@ -59,34 +55,28 @@ def group_search(spark: SparkSession, data: DataFrame, label: str, groups: dict[
     for _ in range(n_trials):
         use = {g: bool(rng.integers(0, 2)) for g in optional}
         draws.append((use, sample(GROUP_SPACE, rng)))
-    cached = data.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(i):
-        use, p = draws[i]
+    every = list(dict.fromkeys(c for g in groups for c in groups[g]))
+    rows = data.select(F.lit(BL.SHARED).alias("view"), F.col(fold_col).cast("int").alias("fold"), F.col(label).cast("double").alias("y"),
+                       F.array(*[F.col(f"`{c}`").cast("double") for c in every]).alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    table, candidates, fitted = [], [], []
+    for i, (use, p) in enumerate(draws):
         chosen = [g for g in always_on] + [g for g in optional if use[g]]
         cols = list(dict.fromkeys(c for g in chosen for c in groups[g]))
-        base = (i, None, None, len(cols) + 1, float(p["C"]), p["penalty"], p.get("l1_ratio"),
-                json.dumps(chosen), *[use[g] for g in optional])
-        if len(cols) + 1 < MIN_FEATURES:  # the intercept counts as in the design
-            return (i, 0.5, 0.0, *base[3:])
-        en = {"l1": 1.0, "l2": 0.0}.get(p["penalty"], float(p.get("l1_ratio") or 0.5))
-        scores = []
-        for f in range(k):
-            tr = cached.where(F.col(fold_col) != f)
-            va = cached.where(F.col(fold_col) == f)
-            scaled = [f"__z{j}" for j in range(len(cols))]
-            pipe = Pipeline(stages=[PopulationScaler(inputCols=cols, outputCols=scaled),
-                                    VectorAssembler(inputCols=scaled, outputCol="features"),
-                                    ScaledC(labelCol=label, C=float(p["C"]), model="logistic", elasticNet=en,
-                                            maxIter=max_iter)])
-            scores.append(evaluate(pipe.fit(tr).transform(va), "roc_auc", label))
-        return (i, float(np.mean(scores)), float(np.std(scores)), *base[3:])
-
+        table.append([i, 0.5, 0.0, len(cols) + 1, float(p["C"]), p["penalty"], p.get("l1_ratio"),
+                      json.dumps(chosen), *[use[g] for g in optional]])
+        if len(cols) + 1 >= MIN_FEATURES:  # the intercept counts as in the design
+            at = tuple(every.index(c) for c in cols)
+            candidates += [logistic_candidate({**p, "max_iter": max_iter}, f, at) for f in range(k)]
+            fitted.append(i)
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(run, range(n_trials)))
+        scales = BL.fold_scales(rows, range(k))
+        betas = BL.fit_candidates(rows, candidates, scales)
+        auc = BL.candidate_metric(BL.validation_scores(rows, candidates, betas, scales), "roc_auc")
     finally:
-        cached.unpersist()
+        rows.unpersist()
+    for at, i in enumerate(fitted):
+        scores = [auc[at * k + f] for f in range(k)]
+        table[i][1:3] = float(np.mean(scores)), float(np.std(scores))
     schema = ("trial int, value double, cv_std double, n_features int, C double, penalty string, "
               "l1_ratio double, groups string, " + ", ".join(f"use_{g} boolean" for g in optional))
-    return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame([tuple(r) for r in table], schema)

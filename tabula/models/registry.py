@@ -12,10 +12,9 @@ from typing import Callable
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 
 from tabula.models.estimators import GaussianNB, GramLinear, ScaledC
 
@@ -107,15 +106,12 @@ RIDGE = [P("alpha", "float", 1e-4, 100.0, log=True), P("fit_intercept", "cat", c
          P("solver", "cat", choices=("auto", "svd", "cholesky", "lsqr", "sag", "saga"))]
 
 APPROXIMATIONS = {
-    "min_samples_split": "no Spark knob; minInstancesPerNode = max(min_samples_leaf, ceil(min_samples_split / 2))",
-    "splitter=random": "refused: trees always search the binned thresholds",
-    "criterion=absolute_error": "refused for trees and boosting (no Spark impurity)",
-    "extra_trees": "random forest without bootstrap; split thresholds are not randomised",
-    "xgboost/lightgbm/catboost": "own histogram booster (models/histboost.py): depth-wise, leaf-budget "
-                                 "(level-synchronous, not strictly best-first) and symmetric growth; "
-                                 "bagging_temperature and random_strength are not used",
+    "min_samples_split": "decision trees (best splitter): no Spark knob; minInstancesPerNode = "
+                         "max(min_samples_leaf, ceil(min_samples_split / 2)); exact elsewhere",
+    "criterion=absolute_error": "refused for trees and forests (no sums give it)",
+    "bins": "own trees (models/treegrow.py) cut features into 64 quantile bins, border_count for the catboost preset",
     "SAMME.R": "refused (discrete boosting only)",
-    "ridge solver": "ignored: the exact Gram solve is used",
+    "ridge solver": "every solver's aim, the exact minimiser, is taken from the Gram matrix",
     "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
     "svm kernels": "rbf by random Fourier features (parameter rff_components, 100 unless given), poly by explicit polynomial expansion, then a linear fit",
 }
@@ -140,13 +136,21 @@ def _reg_impurity(p: dict) -> str:
     return "variance"
 
 
-def _no_random_splitter(p: dict) -> None:
-    if p.get("splitter") == "random":
-        raise RefusedKnob("splitter=random: Spark trees always search the binned thresholds")
+def _ensemble(task, trees=None, random_cuts=True, bootstrap=False):
+    """Extra trees or, with a bootstrap and best cuts, a random forest; one tree with random cuts is a decision
+    tree with the random splitter."""
+    def b(p, n):
+        from tabula.models.ensembles import TreeEnsemble
+        criterion = _cls_impurity(p) if task == "classification" else _reg_impurity(p)
+        return TreeEnsemble(task=task, nEstimators=trees or int(p["n_estimators"]), maxDepth=int(p["max_depth"]), criterion=criterion,
+                            maxFeatures=_subset(p), minSamplesSplit=int(p.get("min_samples_split", 2)),
+                            minSamplesLeaf=int(p.get("min_samples_leaf", 1)), randomCuts=random_cuts, bootstrap=bootstrap)
+    return b
 
 
 def _dt_c(p, n):
-    _no_random_splitter(p)
+    if p.get("splitter") == "random":
+        return _ensemble("classification", 1)(p, n)
     return RandomForestClassifier(numTrees=1, bootstrap=False, maxDepth=min(int(p["max_depth"]), 30),
                                   minInstancesPerNode=_leaf(p), impurity=_cls_impurity(p),
                                   featureSubsetStrategy=_subset(p), seed=42) if p.get("max_features") else \
@@ -155,7 +159,8 @@ def _dt_c(p, n):
 
 
 def _dt_r(p, n):
-    _no_random_splitter(p)
+    if p.get("splitter") == "random":
+        return _ensemble("regression", 1)(p, n)
     return RandomForestRegressor(numTrees=1, bootstrap=False, maxDepth=min(int(p["max_depth"]), 30),
                                  minInstancesPerNode=_leaf(p), impurity=_reg_impurity(p),
                                  featureSubsetStrategy=_subset(p), seed=42) if p.get("max_features") else \
@@ -163,33 +168,12 @@ def _dt_r(p, n):
                               impurity=_reg_impurity(p), seed=42)
 
 
-def _rf(cls, impurity, bootstrap):
+def _gbt(regression=False):
     def b(p, n):
-        return cls(numTrees=int(p["n_estimators"]), maxDepth=min(int(p["max_depth"]), 30),
-                   minInstancesPerNode=_leaf(p), impurity=impurity(p), featureSubsetStrategy=_subset(p),
-                   bootstrap=bootstrap, seed=42)
-    return b
-
-
-def _gbt(cls, regression=False):
-    def b(p, n):
-        kw = dict(maxIter=int(p.get("n_estimators", p.get("iterations", 100))),
-                  stepSize=float(p["learning_rate"]),
-                  maxDepth=min(int(p.get("max_depth", p.get("depth", 5))), 30),
-                  minInstancesPerNode=_leaf(p) if "min_samples_leaf" in p else int(
-                      p.get("min_child_samples", p.get("min_child_weight", 1))),
-                  subsamplingRate=float(p.get("subsample", 1.0)),
-                  featureSubsetStrategy=str(round(float(p["colsample_bytree"]), 4)) if "colsample_bytree" in p
-                  else "all",
-                  maxBins=int(p.get("border_count", 32)), seed=42)
-        if "gamma" in p:
-            kw["minInfoGain"] = float(p["gamma"])
-        if regression:
-            loss = p.get("loss", "squared_error")
-            if loss == "huber":
-                raise RefusedKnob("huber loss has no Spark gradient-boosting counterpart")
-            kw["lossType"] = "absolute" if loss == "absolute_error" else "squared"
-        return cls(**kw)
+        from tabula.models.ensembles import GradientBoosting
+        return GradientBoosting(loss=p.get("loss", "squared_error") if regression else "log_loss", nEstimators=int(p["n_estimators"]),
+                                learningRate=float(p["learning_rate"]), maxDepth=int(p["max_depth"]), subsample=float(p.get("subsample", 1.0)),
+                                minSamplesSplit=int(p.get("min_samples_split", 2)), minSamplesLeaf=int(p.get("min_samples_leaf", 1)))
     return b
 
 
@@ -235,7 +219,8 @@ def _hist(growth, regression=False):
             gamma=float(p.get("gamma", 0.0)),
             subsample=float(p.get("subsample", 1.0)),
             colsample=float(p.get("colsample_bytree", 1.0)),
-            maxBins=int(p.get("border_count", 64)),
+            maxBins=int(p["border_count"]) + 1 if "border_count" in p else 64,
+            baggingTemperature=float(p.get("bagging_temperature", 0.0)), randomStrength=float(p.get("random_strength", 0.0)),
             growth=growth, numLeaves=int(p.get("num_leaves", 31)), seed=42)
     return b
 
@@ -281,19 +266,18 @@ _add("naive_bayes", "classification", [P("var_smoothing", "float", 1e-12, 1e-2,
      lambda p, n: GaussianNB(varSmoothing=float(p["var_smoothing"])))
 _add("decision_tree_classifier", "classification",
      TREE + CLS_CRIT + FEATS + [P("splitter", "cat", choices=("best", "random"))], _dt_c,
-     ["min_samples_split", "splitter=random"])
+     ["min_samples_split"])
 _add("random_forest_classifier", "classification", N_EST + TREE + FEATS + CLS_CRIT,
-     _rf(RandomForestClassifier, _cls_impurity, True), ["min_samples_split"])
+     _ensemble("classification", random_cuts=False, bootstrap=True), ["bins"])
 _add("extra_trees_classifier", "classification", N_EST + TREE + FEATS + CLS_CRIT,
-     _rf(RandomForestClassifier, _cls_impurity, False), ["extra_trees", "min_samples_split"])
+     _ensemble("classification"), ["bins"])
 _add("adaboost_classifier", "classification", ADA_C, _ada_c, ["SAMME.R"])
 _add("knn_classifier", "classification", KNN, _knn("classification"))
 _add("svc", "classification", SVM, _svm_c)
-_add("gradient_boosting_classifier", "classification", N_EST + BOOST, _gbt(GBTClassifier),
-     ["min_samples_split"])
-_add("xgboost_classifier", "classification", XGB, _hist("depthwise"), ["xgboost/lightgbm/catboost"])
-_add("lightgbm_classifier", "classification", LGBM, _hist("lossguide"), ["xgboost/lightgbm/catboost"])
-_add("catboost_classifier", "classification", CATB, _hist("symmetric"), ["xgboost/lightgbm/catboost"])
+_add("gradient_boosting_classifier", "classification", N_EST + BOOST, _gbt(), ["bins"])
+_add("xgboost_classifier", "classification", XGB, _hist("depthwise"), ["bins"])
+_add("lightgbm_classifier", "classification", LGBM, _hist("lossguide"), ["bins"])
+_add("catboost_classifier", "classification", CATB, _hist("symmetric"), ["bins"])
 # regression
 _add("linear_regression", "regression", [P("fit_intercept", "cat", choices=(True, False))],
      lambda p, n: LinearRegression(fitIntercept=bool(p["fit_intercept"]), regParam=0.0, solver="normal"))
@@ -310,18 +294,18 @@ _add("elastic_net", "regression", ENET,
                              tol=float(p["tol"])))
 _add("decision_tree_regressor", "regression",
      TREE + REG_CRIT + FEATS + [P("splitter", "cat", choices=("best", "random"))], _dt_r,
-     ["min_samples_split", "splitter=random", "criterion=absolute_error"])
+     ["min_samples_split", "criterion=absolute_error"])
 _add("random_forest_regressor", "regression", N_EST + TREE + FEATS + REG_CRIT,
-     _rf(RandomForestRegressor, _reg_impurity, True), ["min_samples_split", "criterion=absolute_error"])
+     _ensemble("regression", random_cuts=False, bootstrap=True), ["bins", "criterion=absolute_error"])
 _add("extra_trees_regressor", "regression", N_EST + TREE + FEATS + REG_CRIT,
-     _rf(RandomForestRegressor, _reg_impurity, False), ["extra_trees", "criterion=absolute_error"])
+     _ensemble("regression"), ["bins", "criterion=absolute_error"])
 _add("knn_regressor", "regression", KNN, _knn("regression"))
 _add("adaboost_regressor", "regression", ADA_R, _ada_r)
 _add("svr", "regression", [*SVM[:2], P("epsilon", "float", 1e-3, 1.0, log=True), *SVM[2:]], _svr, ["svr loss"])
 _add("gradient_boosting_regressor", "regression",
      N_EST + BOOST + [P("loss", "cat", choices=("squared_error", "absolute_error", "huber"))],
-     _gbt(GBTRegressor, regression=True), ["min_samples_split"])
-_add("xgboost_regressor", "regression", XGB, _hist("depthwise", True), ["xgboost/lightgbm/catboost"])
-_add("lightgbm_regressor", "regression", LGBM, _hist("lossguide", True), ["xgboost/lightgbm/catboost"])
-_add("catboost_regressor", "regression", CATB, _hist("symmetric", True), ["xgboost/lightgbm/catboost"])
+     _gbt(regression=True), ["bins"])
+_add("xgboost_regressor", "regression", XGB, _hist("depthwise", True), ["bins"])
+_add("lightgbm_regressor", "regression", LGBM, _hist("lossguide", True), ["bins"])
+_add("catboost_regressor", "regression", CATB, _hist("symmetric", True), ["bins"])
 
