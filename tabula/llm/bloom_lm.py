@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import crc32_of, map_text, stored, text_chunks
+from tabula.llm.common import SMALL_CHUNK, crc32_of, give_back, map_text, stored, text_chunks
 from tabula.llm.words import hash_words, mix64, pack48, split_words, unpack48
 
 GROUP_BITS = 5                   # 32 groups of words
@@ -89,6 +89,7 @@ def _count_rows(texts: DataFrame, sub_bits: int) -> DataFrame:
                            T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for text in text_chunks(batch.column(0)):
                 cur, prev, _ = token_stream(text)
@@ -104,6 +105,8 @@ def _count_rows(texts: DataFrame, sub_bits: int) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(col), t) for col, t in zip(
                         zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
+                del cur, prev, word, pair, n, cell, rows
+        give_back()
 
     return texts.mapInArrow(run, schema)
 
@@ -233,7 +236,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows whose CRC-32 of the id (as text) is not 0 modulo ``held_out_mod`` train;
     rows with a null id are held out.  A null or empty text is one end token.
-    Repeated rows each count and each give a row.  With no training rows N and V
+    Texts of any length are read whole.  Repeated rows each count and each give a row.  With no training rows N and V
     are 0 and every token has the add-0.1 probability 1.  Other columns are
     ignored.  Bigram counts come from the filter and may be overstated by false
     positives; word counts, and with them the base score, are exact."""
@@ -267,13 +270,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         here = [r for r in sizes if r["cell"] >> sub_bits in (word_groups if r["kind"] == 0 else firsts)]
         # at most max_broadcast bytes, fetched a partition at a time
         shared = spark.sparkContext.broadcast(CountFilter(held.toLocalIterator(), here, firsts, seconds, total, distinct, sub_bits))
-        if k:
-            done = stored(done, f"lm-pass{k}")
         got = map_text(done, "text", fields, lambda shared=shared: _scorer(shared.value),
-                       keep=[c for c in done.columns if k + 1 < blocks * blocks or c != "text"])
+                       keep=[c for c in done.columns if k + 1 < blocks * blocks or c != "text"], chunk=SMALL_CHUNK)
         done = got.withColumns({"n_tokens": F.col("p_tokens"), "n_known": F.col("n_known") + F.col("p_known"),
                                 "base_score": F.col("base_score") + F.col("p_base"),
                                 "score": F.col("score") + F.col("p_score")}).drop(*[f.name for f in fields])
+        done = stored(done, f"lm-pass{k}")
+        shared.destroy()  # executors and their workers drop this block's cells
     return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
                        "base_score", "score")
 

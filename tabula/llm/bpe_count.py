@@ -11,7 +11,6 @@ look-up per word.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -35,6 +34,7 @@ class MergeTable:
 
     pattern: str
     special: tuple[str, ...]
+    normalizer: str       # JSON, as in the file
     inner: np.ndarray     # symbol of each byte inside a pre-token
     final: np.ndarray     # symbol of each byte that ends a pre-token
     pairs: np.ndarray     # sorted (left << 32 | right)
@@ -69,6 +69,7 @@ def load_merge_table(path: str) -> MergeTable:
     return MergeTable(
         pattern=split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"),
         special=tuple(t["content"] for t in spec["added_tokens"]),
+        normalizer=json.dumps(spec["normalizer"]),
         inner=np.array([vocab[c] for c in letters], np.int64),
         final=np.array([vocab[c + end] for c in letters], np.int64),
         pairs=pairs, ranks=ranks, merged=merged)
@@ -119,6 +120,11 @@ class WordCounter:
         self.split = regex.compile(table.pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, table.special)) + ")") if table.special else None
         self.memo: dict[str, int] = {}
+        # the file's own normalizer: Unicode tables differ between libraries
+        from tokenizers import Tokenizer
+        bare = {"version": "1.0", "added_tokens": [], "normalizer": json.loads(table.normalizer),
+                "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        self.normal = Tokenizer.from_str(json.dumps(bare)).normalizer
 
     def pre_tokens(self, word: str) -> tuple[int, list[bytes]]:
         """Special strings in the word, and the pre-tokens of the rest."""
@@ -129,10 +135,7 @@ class WordCounter:
             parts = parts[::2]
         out: list[bytes] = []
         for p in parts:
-            if p.isascii():
-                p = p.lower()
-            else:
-                p = "".join(c.lower() for c in unicodedata.normalize("NFC", p))
+            p = p.lower() if p.isascii() else self.normal.normalize_str(p)
             out += [t.encode() for t in self.split.findall(p)]
         return found, out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -51,6 +52,28 @@ def text_or_empty(col: str | Column) -> Column:
 
 
 CHUNK_BYTES = 8 << 20  # text handled at once inside a task
+SMALL_CHUNK = 2 << 20  # the same where a byte of text takes many bytes of arrays
+
+_HELD: dict = {}
+
+
+def held_by_worker(key: object, make: Callable[[], object]):
+    """An object that this worker process keeps from task to task of one operator; it keeps
+    one at a time, and ``give_back`` drops it when the next operator begins."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def give_back(forget: bool = True) -> None:
+    """Return freed memory to the system: worker processes live on between tasks and stages."""
+    if forget:
+        _HELD.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
 
 
 def text_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
@@ -76,8 +99,9 @@ def numbered_chunks(text: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[
 
 def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
              make: Callable[[], Callable[[pa.Array], dict]], keep: Sequence[str] | None = None,
-             only: str | None = None, bare: bool = False) -> DataFrame:
-    """Append columns computed from the text, one Arrow batch at a time.
+             only: str | None = None, bare: bool = False, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """Append columns computed from the text, about ``chunk`` bytes of it at a time
+    (a longer text goes alone).
 
     ``make()`` runs once per task and returns ``fn(text) -> {field: array}``.
     ``keep`` names the input columns of the result (default: all of them).
@@ -97,17 +121,19 @@ def map_text(df: DataFrame, text_col: str, fields: Sequence[T.StructField],
                           + [T.StructField(o, f.dataType) for o, f in zip(outs, fields, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         fn = make()
         for batch in batches:
             done = 0
-            for text in text_chunks(batch.column(text_slot).cast(pa.string())):
+            for text in text_chunks(batch.column(text_slot).cast(pa.string()), chunk):
                 got = fn(text)
                 new = [a if isinstance(a, pa.Array) else pa.array(a) for a in (got[f.name] for f in fields)]
                 old = [batch.column(s).slice(done, len(text)) for s in slots]
                 out = pa.RecordBatch.from_arrays(old + new, names=slots + outs)
                 done += len(text)
                 yield out if only is None else out.filter(pa.array(got[only]))
-        pa.default_memory_pool().release_unused()  # the worker lives on, its next task may need less
+        del fn
+        give_back()
 
     mapped = source.mapInArrow(run, schema)
     return mapped.select(*[F.col(s).alias(c) for c, s in zip(kept, slots, strict=True)],
@@ -119,11 +145,18 @@ def crc32_of(col: str) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
-def bucket_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows chosen by a hash of ``key`` and never more than
-    ``rows``: the bounded sample on which a classifier is fitted."""
-    total = df.count()
-    if total <= rows:
-        return df
-    cut = int(0.97 * rows / total * (1 << 30))
-    return df.filter((F.xxhash64(F.col(key), F.lit("sample")).bitwiseAND((1 << 30) - 1)) < cut).limit(rows)
+def bounded_sample(df: DataFrame, key: str, text_col: str, rows: int, max_bytes: int) -> DataFrame:
+    """The first rows in the order of a hash of key and text, as many as are ``rows`` rows and
+    ``max_bytes`` bytes of text at most: the bounded sample on which a classifier is fitted, the
+    same for every partitioning.  Only hashes and lengths of ``rows`` rows come to the driver."""
+    order = [F.xxhash64(F.col(key), F.lit("sample")), F.xxhash64(F.col(text_col), F.lit("sample"))]
+    sized = df.select(order[0].alias("a"), order[1].alias("b"), F.octet_length(text_col).alias("n"))
+    total, last = 0, None
+    for r in sized.orderBy("a", "b").limit(rows).collect():
+        if total + r["n"] > max_bytes:
+            break
+        total, last = total + r["n"], r
+    if last is None:
+        return df.limit(0)
+    within = (order[0] < last["a"]) | ((order[0] == last["a"]) & (order[1] <= last["b"]))
+    return df.filter(within).limit(rows)  # the limit only meets rows repeated with key and text

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import map_text, stored, text_chunks
+from tabula.llm.common import SMALL_CHUNK, map_text, stored, text_chunks
 from tabula.llm.filters import fixed_filter, maybe_in, probably_in
 from tabula.llm.components import components
 from tabula.llm.words import Words, hash_words, mix64, pack48, split_words, unpack48
@@ -138,7 +138,7 @@ def _digest_rows(docs: DataFrame, width: int) -> DataFrame:
 
         return fn
 
-    return map_text(docs, "text", fields, make, keep=["doc_id"])
+    return map_text(docs, "text", fields, make, keep=["doc_id"], chunk=SMALL_CHUNK)
 
 
 def _shared_keys(texts: DataFrame, width: int, percent: int, cell_bits: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _tile_rows(texts: DataFrame, width: int, percent: int, cell_bits: int, share
 
         return fn
 
-    return map_text(texts, "text", fields, make, keep=["doc_id"], only="meets")
+    return map_text(texts, "text", fields, make, keep=["doc_id"], only="meets", chunk=SMALL_CHUNK)
 
 
 def _may_link(percent: int) -> Column:
@@ -309,7 +309,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 
         return fn
 
-    return map_text(texts, "text", fields, make, keep=["doc_id"]).withColumnRenamed("doc_id", "node")
+    return map_text(texts, "text", fields, make, keep=["doc_id"], chunk=SMALL_CHUNK).withColumnRenamed("doc_id", "node")
 
 
 def one_per_component(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import bucket_sample, crc32_of, map_text, text_chunks
+from tabula.llm.common import bounded_sample, crc32_of, map_text, text_chunks
 from tabula.llm.words import mix64, ragged_range, split_words
 
 BUCKET_BITS = 16
@@ -154,19 +154,19 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> LanguageModel:
 
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                       mod: int = 4, held_out: int = 2, max_train: int = 5000) -> DataFrame:
+                       mod: int = 4, held_out: int = 2, max_train: int = 5000, max_bytes: int = 64 << 20) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, accepted`` for every row.
 
     Rows whose CRC-32 of the id (as text) is ``held_out`` modulo ``mod``, and rows
     with a null id, text or language, are not learned from; of the others at most
-    ``max_train`` (chosen by a hash of the id) are.  ``lang_pred`` is ``und`` with
+    ``max_train`` with ``max_bytes`` bytes of text (chosen by a hash of id and text) are.  ``lang_pred`` is ``und`` with
     score 0 if the text is null or has no letter, or if there was nothing to learn
     from.  Repeated rows each give a row; other columns are ignored."""
     keep_out = F.coalesce(crc32_of(f"`{id_col}`") % mod == held_out, F.lit(True))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang"), keep_out.alias("held_out"))
     known = rows.filter("not held_out and lang is not null and text is not null")
-    sample = sorted((r["lang"], r["text"]) for r in bucket_sample(known, "doc_id", max_train).select("lang", "text").collect())
+    sample = sorted((r["lang"], r["text"]) for r in bounded_sample(known, "doc_id", "text", max_train, max_bytes).collect())
     model = train([t for _, t in sample], [x for x, _ in sample]) if sample else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import bucket_sample, map_text, numbered_chunks
+from tabula.llm.common import SMALL_CHUNK, bounded_sample, map_text, numbered_chunks
 from tabula.llm.words import hash_words, mix64, split_words
 
 BITS = 20
@@ -146,15 +146,16 @@ def document_grade() -> Column:
 
 
 def fit_on_labels(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, id_col: str = "doc_id", text_col: str = "text",
-                  grade_col: str = "grade", max_train: int = 6000) -> OrdinalModel | None:
-    """Fit on at most ``max_train`` rated rows, chosen by a hash of the id.  Rows with
+                  grade_col: str = "grade", max_train: int = 6000, max_bytes: int = 64 << 20) -> OrdinalModel | None:
+    """Fit on at most ``max_train`` rated rows and ``max_bytes`` bytes of text, chosen by a hash of id and text.  Rows with
     a null id, grade or text, and grades out of range, are not learned from; None without any."""
     rated = ratings.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{grade_col}`").cast("int").alias("grade")) \
         .filter((F.col("grade") >= 0) & (F.col("grade") < n_grades) & F.col("id").isNotNull())
-    chosen = bucket_sample(rated, "id", max_train)  # at most max_train pairs of numbers: safe to broadcast
+    # at most max_train pairs of numbers, chosen by hash: safe to broadcast
+    chosen = rated.orderBy(F.xxhash64("id", F.lit("rated")), "id", "grade").limit(max_train)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").limit(2 * max_train).collect()
-    rows = sorted((r["text"], r["grade"]) for r in rows)
+    joined = texts.join(F.broadcast(chosen), "id")
+    rows = sorted((r["text"], r["grade"]) for r in bounded_sample(joined, "id", "text", max_train, max_bytes).collect())
     return fit([t for t, _ in rows], [g for _, g in rows], n_grades) if rows else None
 
 
@@ -166,7 +167,7 @@ def grade_texts(docs: DataFrame, model: OrdinalModel | None, n_grades: int = 3,
     ``keep`` is true where P(grade >= ``select_from``) (default: the top grade) is
     ``at_least`` or more; ``only_kept`` returns only those rows, with their own
     columns alone (which may have any names).  Null and empty
-    texts are graded as texts without words.  Without a model every text has the top grade.
+    texts are graded as texts without words, very long ones whole.  Without a model every text has the top grade.
     Rows, ids and other columns pass through."""
     top = n_grades - 1 if select_from is None else select_from
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -182,4 +183,4 @@ def grade_texts(docs: DataFrame, model: OrdinalModel | None, n_grades: int = 3,
 
         return fn
 
-    return map_text(docs, text_col, fields, make, keep=keep, only="keep" if only_kept else None, bare=only_kept)
+    return map_text(docs, text_col, fields, make, keep=keep, only="keep" if only_kept else None, bare=only_kept, chunk=SMALL_CHUNK)

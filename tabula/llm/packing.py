@@ -12,7 +12,6 @@ of earlier tasks, so no length gathers its pieces in one task.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from collections.abc import Iterator, Sequence
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import numbered_chunks, stored
+from tabula.llm.common import give_back, held_by_worker, numbered_chunks, stored
 from tabula.llm.words import ragged_range, split_words
 
 MEMO_WORDS = 200_000
@@ -118,10 +117,9 @@ class Encoder:
         self.ids = np.zeros(4096, np.uint32)
 
     @staticmethod
-    @functools.cache
     def of(spec: str) -> Encoder:
-        """The encoder of this worker process; the next task finds its words there."""
-        return Encoder(spec)
+        """The encoder of this worker process; the next packing task finds its words there."""
+        return held_by_worker(("encoder", hash(spec)), lambda: Encoder(spec))
 
     def word_slots(self, words: list[str]) -> np.ndarray:
         """Slots of distinct words.  The first ``MEMO_WORDS`` words are remembered,
@@ -189,7 +187,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
                 [batch.column(0).take(pa.array(cols[:, 0])), pa.array(cols[:, 1].astype(np.int32)),
                  *[pa.array(cols[:, j]) for j in (2, 3, 4)], pa.array(np.full(len(cols), task)), pa.array(cols[:, 5])],
                 names=schema.names)
-        pa.default_memory_pool().release_unused()  # the worker lives on, its next task may need less
+        give_back(forget=False)
 
     return docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")).mapInArrow(run, schema)
 

@@ -532,3 +532,60 @@ def test_ordinal_gradient_lowers_the_loss():
     share = np.bincount(y) / len(y)
     assert loss < 0.2 * -(share * np.log(share)).sum()
     assert (np.diff(model.thresholds) > 0).all()
+
+
+def test_drop_copies_keeps_the_row_that_exact_groups_keeps(spark):
+    rows = [(1, "ab", "p"), (1, "a  b", "q"), (2, "ab", "r"), (2, "ab", "r"), (None, "c d", "s"), (None, "cd", "t"), (7, None, "u"), (7, "", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_row string").repartition(3)
+    got = sorted(map(tuple, radix_dedup.drop_copies(docs).collect()), key=str)
+    assert got == sorted([(1, "a  b", "q"), (None, "c d", "s"), got[[r[0] for r in got].index(7)]], key=str)
+    kept = sorted((r["doc_id"], r["text_sha256"]) for r in radix_dedup.exact_groups(docs.filter("doc_id is not null")).filter("kept").collect())
+    assert len(kept) == 2
+
+
+def test_token_counts_of_all_code_points(spark):
+    from tokenizers import Tokenizer
+    points = [chr(c) for c in range(1, 0x32000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(points[i:i + 1]) + "\u0301 x" + points[i] + "y" for i in range(0x7F, len(points))]
+    library = Tokenizer.from_file(BPE)
+    want = [len(e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert bpe_count.batch_counter(bpe_count.load_merge_table(BPE))(pa.array(texts)).tolist() == want
+
+
+def test_samples_are_bounded_and_the_same_for_every_partitioning(spark):
+    from tabula.llm.common import bounded_sample
+    rows = [(i, "x" * (i % 50)) for i in range(400)] + [(5, "same")] * 300
+    df = spark.createDataFrame(rows, "id long, text string")
+    a, b = (sorted(map(tuple, bounded_sample(df.repartition(n), "id", "text", 60, 1000).collect())) for n in (1, 7))
+    assert a == b and 0 < len(a) <= 60 and sum(len(t) for _, t in a) <= 1000
+    assert len(bounded_sample(df, "id", "text", 10_000, 1 << 30).collect()) == 700
+    assert bounded_sample(df.limit(0), "id", "text", 5, 5).count() == 0
+
+
+def test_texts_beyond_one_chunk(spark, monkeypatch):
+    """Every operator on texts that take many chunks gives what it gives in one."""
+    from tabula.llm import common
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 40 + 10 * (i % 5))) for i in range(40)] + [(100, prose(rng, 4000)), (101, prose(rng, 4000)), (102, None), (103, "")]
+    rows += [(110, rows[40][1] + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(40)], "doc_id long, grade int")
+    bench = spark.createDataFrame([(1, " ".join(rows[40][1].split()[100:130]))], "item_id long, text string")
+
+    def results():
+        model = ordinal.fit_on_labels(docs, ratings)
+        langs = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b"))
+        frames = [bloom_lm.score_texts(docs), bpe_count.token_counts(docs, BPE), jaccard_join.jaccard_components(docs),
+                  decontam.mark_overlaps(docs, bench, keep=["doc_id"]), ordinal.grade_texts(docs, model, keep=["doc_id"]),
+                  lang_id.identify_languages(langs), packing.cut_pieces(docs, BPE, 64, 1, "doc_id", "text").drop("task", "nth")]
+        return [sorted((str([round(v, 6) if isinstance(v, float) else v for v in r]) for r in f.collect())) for f in frames]
+
+    whole = results()
+    for module in (common, bloom_lm, ordinal, jaccard_join):
+        if hasattr(module, "SMALL_CHUNK"):
+            monkeypatch.setattr(module, "SMALL_CHUNK", 700)
+    monkeypatch.setattr(common, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(common.map_text, "__defaults__", tuple(700 if d == 8 << 20 else d for d in common.map_text.__defaults__))
+    for name in ("text_chunks", "numbered_chunks"):
+        monkeypatch.setattr(getattr(common, name), "__defaults__", (700,))
+    assert results() == whole
