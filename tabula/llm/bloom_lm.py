@@ -78,9 +78,20 @@ def bigram_key(prev: np.ndarray, cur: np.ndarray, sub_bits: int) -> np.ndarray:
     return cell << np.uint64(KEY_BITS) | pair & MASK
 
 
-def _probe(key: np.ndarray, level: int, i: int, size: np.ndarray | np.uint64) -> np.ndarray:
+HALF = np.uint64(32)
+LOW = np.uint64(0xFFFFFFFF)
+MOST_BITS = 1 << 32  # of a cell: places are drawn with 32 bits
+
+
+def _steps(key: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """First place and stride, in 32 bits, of the probes of (key, level)."""
     h = mix64(key * MULT + np.uint64(level))
-    return ((h & np.uint64(0xFFFFFFFF)) + np.uint64(i) * (h >> np.uint64(32) | np.uint64(1))) % size
+    return h & LOW, h >> HALF | np.uint64(1)
+
+
+def _place(first: np.ndarray, stride: np.ndarray, i: int, size: np.ndarray | np.uint64) -> np.ndarray:
+    """Place of the i-th probe among ``size`` bits: scaled, not divided."""
+    return (((first + np.uint64(i) * stride) & LOW) * size) >> HALF
 
 
 def _count_rows(texts: DataFrame, sub_bits: int) -> DataFrame:
@@ -139,12 +150,12 @@ def _cells(counted: DataFrame) -> DataFrame:
             blob = keys.tobytes() + np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes()
         else:
             level = level_of(n)
-            bits = max(64, BITS_PER_ENTRY * int(level.sum()))
+            bits = min(MOST_BITS, max(64, BITS_PER_ENTRY * int(level.sum())))
             on = np.zeros(-(-bits // 8) * 8, bool)
             for q in range(1, int(level.max()) + 1):
-                held = keys[level >= q]
+                first, stride = _steps(keys[level >= q], q)
                 for i in range(PROBES):
-                    on[_probe(held, q, i, np.uint64(bits))] = True
+                    on[_place(first, stride, i, np.uint64(bits))] = True
             blob = np.packbits(on, bitorder="little").tobytes()
         return pa.Table.from_arrays([pa.array([x], t) for x, t in (
             (kind, pa.int32()), (cell, pa.int32()), (len(keys), pa.int64()), (int(n.sum()), pa.int64()),
@@ -193,9 +204,12 @@ class CountFilter:
         alive = np.flatnonzero((limit > 0) & (self.bits[cell] > 0))
         q = 1
         while len(alive):
+            first, stride = _steps(key[alive], q)
+            size, base = self.bits[cell[alive]], self.base[cell[alive]]
             for i in range(PROBES):
-                at = self.base[cell[alive]] + _probe(key[alive], q, i, self.bits[cell[alive]])
-                alive = alive[(self.filter[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+                at = base + _place(first, stride, i, size)
+                on = (self.filter[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                alive, first, stride, size, base = (x[on] for x in (alive, first, stride, size, base))
             out[alive] = q
             q += 1
             alive = alive[limit[alive] >= q]

@@ -6,7 +6,9 @@ substitutions at the ignored places.  Test items are hashed on the driver in blo
 of bounded size and broadcast; documents are hashed in Arrow batches and looked up
 first in a bit table, then in the sorted hashes.  Around every hit the document and
 the item are compared word by word along their common diagonal, and the longest run
-with at least the wanted share of equal words decides.
+with at least the wanted share of equal words decides.  Items shorter than the shortest mask are hashed
+whole, one mask without ignored places for each such length.  Letters of scripts that put no blanks
+between words are words of their own.
 """
 
 from __future__ import annotations
@@ -21,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import map_text
+from tabula.llm.common import SMALL_CHUNK, map_text
 from tabula.llm.words import hash_words, mix64, ragged_range, split_words
 
 # fixed values: the spaced seeds; 1 is a word that must be equal, 0 one that is ignored
 MASKS = ("110110011", "1011000111", "1010011011", "11100101001")
+SHORTEST = min(map(len, MASKS))
+# scripts written without blanks between words
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
 TABLE_BITS = 22
 BLOCK_BYTES = 16 << 20
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -35,7 +40,9 @@ SPAN = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("star
 
 def plain_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words without case and punctuation, and where texts start.
-    Words without a letter or digit are left out."""
+    Words without a letter or digit are left out; each letter of an unspaced script is a word."""
+    if pc.any(pc.match_substring_regex(text, UNSPACED)).as_py():
+        text = pc.replace_substring_regex(text, f"({UNSPACED})", r" \1 ")
     words = split_words(text)
     plain = pc.replace_substring_regex(pc.utf8_lower(words.vocab), r"[^\p{L}\p{N}]+", "")
     filled = pc.greater(pc.binary_length(plain), 0).to_numpy(zero_copy_only=False)
@@ -65,18 +72,26 @@ class SeedTable:
     item: np.ndarray
     place: np.ndarray
     table: np.ndarray
+    masks: tuple[str, ...]
 
 
 def seed_table(ids: list[int], texts: list[str]) -> SeedTable:
     word, starts = plain_words(pa.array(texts, pa.string()))
     found = [seed_hashes(word, starts, m) for m in MASKS]
+    size = np.diff(starts)
+    short = [n for n in range(1, SHORTEST) if (size == n).any()]
+    for n in short:  # the only place of such an item
+        at, h = seed_hashes(word, starts, "1" * n)
+        whole = size[np.searchsorted(starts, at, "right") - 1] == n
+        found.append((at[whole], h[whole]))
     at, h = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.argsort(h, kind="stable")
     at, h = at[order], h[order]
     item = np.searchsorted(starts, at, "right") - 1
     table = np.zeros(1 << TABLE_BITS, bool)
     table[h >> np.uint64(64 - TABLE_BITS)] = True
-    return SeedTable(np.array(ids, np.int64), word, starts, h, item, at - starts[item], table)
+    return SeedTable(np.array(ids, np.int64), word, starts, h, item, at - starts[item], table,
+                     (*MASKS, *("1" * n for n in short)))
 
 
 def best_run(equal: np.ndarray, share: float) -> tuple[int, int]:
@@ -96,7 +111,7 @@ def find_overlaps(seeds: SeedTable, word: np.ndarray, starts: np.ndarray, min_wo
     """Per text, the verified (item id, start, words, equal words), one per item."""
     out: list[dict[int, tuple]] = [{} for _ in range(len(starts) - 1)]
     hits = []
-    for m in MASKS:
+    for m in seeds.masks:
         at, h = seed_hashes(word, starts, m)
         may = seeds.table[h >> np.uint64(64 - TABLE_BITS)]
         at, h = at[may], h[may]
@@ -125,8 +140,9 @@ def mark_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     An overlap needs ``min_words`` words (or the whole item, if shorter), of which
     ``share`` are equal, and the longest such run of a diagonal is given (of several diagonals, the one with most
-    equal words).  It is looked for where a seed hits: six equal words at the places of a mask.  Items of fewer words than the shortest mask (9), null or
-    empty ones match nothing, nor do items without an id; null and empty documents get an empty list.  Rows, ids
+    equal words).  It is looked for where a seed hits: six equal words at the places of a mask.  Items of fewer words than the shortest mask (9) are
+    found where all their words occur in a row.  Words of scripts without blanks are their letters.  Null and
+    empty items match nothing, nor do items without an id; null and empty documents get an empty list.  Texts of any length are read whole.  Rows, ids
     and other columns pass through unchanged."""
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{item_text_col}`").cast("string").alias("t")) \
         .filter("id is not null and t is not null").distinct()
@@ -149,7 +165,7 @@ def mark_overlaps(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             return fn
 
         out = map_text(out, text_col, [T.StructField(part, T.ArrayType(SPAN))], make,
-                       keep=[*(dict.fromkeys([*kept, text_col]) if b + 1 < blocks else kept), *parts])
+                       keep=[*(dict.fromkeys([*kept, text_col]) if b + 1 < blocks else kept), *parts], chunk=SMALL_CHUNK)
         parts.append(part)
     return out.withColumn(spans_col, F.concat(*parts)).drop(*parts)
 

@@ -27,6 +27,7 @@ COPYRIGHT_LINE = r"(^|\n)[ \t]*(copyright|\(c\)|©)[^\n]*"
 HOLDER_LINE = (r"(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|[\d<\[{])|\(c\)[ \t]*(copyright|[\d<\[{])|©"
                r"|all rights reserved[ \t\r.]*(?=\n|$))[^\n]*")
 LEAD = 12  # characters
+MOST_LEADS = 10_000  # beginnings that the plan lists
 BREAKS = r"[^\p{L}\p{N}\n]+"
 
 
@@ -79,27 +80,30 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``license`` names the known text that the whole document equals in canonical
     form, else null; ``notices`` lists, sorted and comma-separated, the licences of
     which some line of the document is a known text.  ``extra`` has more known texts
-    (``license, text``); the catalogue is broadcast.  Of several licences with one text
+    (``license, text``) and may have any size: the built-in catalogue, some hundreds of rows, is broadcast,
+    with ``extra`` Spark joins by the sizes it finds.  Of several licences with one text
     the first by name counts.  Null text counts as empty,
     and an empty text matches nothing.  Repeated rows and null ids each give a row;
     other columns are ignored."""
     known = catalogue(docs.sparkSession, extra)
-    leads = sorted(r[0] for r in known.select("lead").distinct().collect())
+    leads = sorted(r[0] for r in known.select("lead").distinct().limit(MOST_LEADS + 1).collect())
     lines = F.transform(F.split("form", "\n"), lambda x: F.trim(x))
-    # a line equal to a known text begins like one; the others need no digest
-    likely = F.filter(lines, lambda x: F.substring(x, 1, LEAD).isin(leads))
+    # a line equal to a known text begins like one; the others need no digest.  Of too many leads none are used
+    begins = (lambda x: F.substring(x, 1, LEAD).isin(leads)) if len(leads) <= MOST_LEADS else (lambda x: F.length(x) > 0)
+    likely = F.filter(lines, begins)
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), canonical_lines(text).alias("form"), whole_form(text).alias("whole")) \
         .select("doc_id", F.monotonically_increasing_id().alias("rid"), F.sha2(joined_lines(F.col("form")), 256).alias("text_digest"),
-                F.when(F.substring("whole", 1, LEAD).isin(leads), F.sha2("whole", 256)).alias("whole_digest"),
+                F.when(begins(F.col("whole")), F.sha2("whole", 256)).alias("whole_digest"),
                 F.array_distinct(likely).alias("lines")) \
         .select("doc_id", "rid", "text_digest", "whole_digest", F.explode_outer("lines").alias("line")) \
         .withColumn("line_digest", F.sha2("line", 256))
     text_known = known.select(F.col("digest").alias("text_digest"), F.col("license").alias("by_text"))
     whole_known = known.select(F.col("digest").alias("whole_digest"), F.col("license").alias("by_whole"))
     notice = known.select(F.col("digest").alias("line_digest"), F.col("license").alias("notice"))
-    return rows.join(F.broadcast(text_known), "text_digest", "left").join(F.broadcast(whole_known), "whole_digest", "left") \
-        .join(F.broadcast(notice), "line_digest", "left") \
+    small = F.broadcast if extra is None else (lambda known: known)
+    return rows.join(small(text_known), "text_digest", "left").join(small(whole_known), "whole_digest", "left") \
+        .join(small(notice), "line_digest", "left") \
         .groupBy("rid", "doc_id", "text_digest") \
         .agg(F.max(F.coalesce("by_text", "by_whole")).alias("license"), F.collect_set("notice").alias("found")) \
         .select("doc_id", "text_digest", "license", F.concat_ws(",", F.array_sort("found")).alias("notices"))

@@ -359,12 +359,23 @@ def test_decontamination(spark, odd, empty):
         found = decontam.mark_overlaps(df, bench, block_bytes=block_bytes)
         assert found.columns == [*df.columns, "spans"]
         got = {r.doc_id: sorted(s.item_id for s in r.spans) for r in found.collect()}
-        assert got == {0: [0], 1: [1], 2: [], 3: [2], 4: [3], 5: [], 6: [], 7: [], 8: [], 9: [], 10: [0, 1]}
+        assert got == {0: [0], 1: [1], 2: [], 3: [2], 4: [3], 5: [4], 6: [], 7: [], 8: [], 9: [], 10: [0, 1]}
     assert decontam.drop_contaminated(odd, bench).count() == len(odd_rows())
     assert decontam.drop_contaminated(empty, bench).count() == 0
     assert decontam.drop_contaminated(df, bench.limit(0)).count() == len(docs)
 
 
+def test_short_and_unspaced_items_are_found():
+    short = [" ".join(f"w{n}x{j}" for j in range(n)) for n in range(1, 9)]
+    chinese = "今天天气很好我们去公园散步然后回家吃饭看书睡觉"
+    items = [*short, chinese, "猫坐在垫子上", "ภาษาไทยไม่มีช่องว่างระหว่างคำ"]
+    docs = [f"before {t} after" for t in short] + [f"他说{chinese}。", "标题：猫坐在垫子上！", "ก" + items[10] + "ข", "w8x0 w8x1 w8x2 other", chinese[::-1]]
+    changed = chinese[:4] + "错" + chinese[5:]
+    seeds = decontam.seed_table(list(range(len(items))), items)
+    got = [[s[0] for s in f] for f in decontam.find_overlaps(seeds, *decontam.plain_words(pa.array([*docs, changed])), 12, 0.75)]
+    assert got == [[i] for i in range(11)] + [[], [], [8]]
+
+
 def test_overlaps_equal_a_scan_of_all_diagonals():
     rng = random.Random(8)
     items = [prose(rng, rng.randint(12, 40)).split() for _ in range(10)]
