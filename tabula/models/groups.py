@@ -1,6 +1,6 @@
 """Feature-group search over a formula design (T9, M18, H-S2..S7).
 
-Design columns are grouped by the term they come from; some groups are always on, the
+Design columns are grouped by the formula terms they come from; some groups are always on, the
 others are switched per trial.  Each trial scales the selected columns
 (population std, fitted inside each training fold) and fits an L1 / L2 /
 elastic-net logistic regression; the objective is the mean ROC-AUC over
@@ -28,21 +28,19 @@ GROUP_SPACE = [P("penalty", "cat", choices=("l1", "l2", "elasticnet")), P("C", "
 MIN_FEATURES = 3
 
 
-def term_groups(formula: str, names: list[str]) -> tuple[dict[str, list[str]], list[str]]:
-    """Groups of design columns, one per parsed term of the formula, and the groups
-    that stay on: the categorical main effects.
-
-    A group is named by the sources of its term's factors; a design column belongs to
-    the term whose factor labels it carries (levels in brackets left out)."""
+def named_groups(formula: str, names: list[str], members: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Design columns of each named group of formula terms (``a``, ``C(a)``, ``a:C(b)``); a
+    term that the formula lacks is an error."""
     _, terms, _ = parse(formula)
+    labels = {":".join(f.label for f in term): tuple(f.label for f in term) for term in terms}
     bare = {c: tuple(re.sub(r"\[[^\]]*\]$", "", part) for part in c.split(":")) for c in names}
-    groups, fixed = {}, []
-    for term in terms:
-        name = "_x_".join(re.sub(r"\W+", "_", f.source).strip("_") for f in term)
-        groups[name] = [c for c in names if bare[c] == tuple(f.label for f in term)]
-        if len(term) == 1 and term[0].kind == "cat":
-            fixed.append(name)
-    return groups, fixed
+    out = {}
+    for group, of_group in members.items():
+        if lost := [t for t in of_group if t not in labels]:
+            raise ValueError(f"{group}: no such term: {', '.join(lost)}")
+        wanted = {labels[t] for t in of_group}
+        out[group] = [c for c in names if bare[c] in wanted]
+    return out
 
 
 def group_search(spark: SparkSession, data: DataFrame, label: str, groups: dict[str, list[str]],

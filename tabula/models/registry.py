@@ -112,7 +112,6 @@ APPROXIMATIONS = {
     "bins": "own trees (models/treegrow.py) cut features into 64 quantile bins, border_count for the catboost preset",
     "SAMME.R": "refused (discrete boosting only)",
     "ridge solver": "every solver's aim, the exact minimiser, is taken from the Gram matrix",
-    "svr loss": "squared epsilon-insensitive loss (smooth primal, Newton steps) instead of the plain one",
     "svm kernels": "rbf by random Fourier features (parameter rff_components, 100 unless given), poly by explicit polynomial expansion, then a linear fit",
 }
 
@@ -232,17 +231,17 @@ def _ada_r(p, n):
 
 
 def _svr(p, n):
-    from tabula.models.estimators import LinearSVR
     from tabula.models.kernels import RandomFourierFeatures
+    from tabula.models.svr import EpsilonSVR
     kw = dict(C=float(p["C"]), epsilon=float(p["epsilon"]), maxIter=int(p["max_iter"]), tol=float(p["tol"]))
     if p["kernel"] == "linear":
-        return LinearSVR(**kw)
+        return EpsilonSVR(**kw)
     if p["kernel"] == "rbf":
         mapper = RandomFourierFeatures(inputCol="features", outputCol="__kfeat", gamma=str(p["gamma"]),
                                        components=int(p.get("rff_components", 100)))
     else:
         mapper = PolynomialExpansion(inputCol="features", outputCol="__kfeat", degree=int(p["degree"]))
-    return Pipeline(stages=[mapper, LinearSVR(featuresCol="__kfeat", **kw)])
+    return Pipeline(stages=[mapper, EpsilonSVR(featuresCol="__kfeat", **kw)])
 
 
 def _knn(task):
@@ -301,7 +300,7 @@ _add("extra_trees_regressor", "regression", N_EST + TREE + FEATS + REG_CRIT,
      _ensemble("regression"), ["bins", "criterion=absolute_error"])
 _add("knn_regressor", "regression", KNN, _knn("regression"))
 _add("adaboost_regressor", "regression", ADA_R, _ada_r)
-_add("svr", "regression", [*SVM[:2], P("epsilon", "float", 1e-3, 1.0, log=True), *SVM[2:]], _svr, ["svr loss"])
+_add("svr", "regression", [*SVM[:2], P("epsilon", "float", 1e-3, 1.0, log=True), *SVM[2:]], _svr, ["svm kernels"])
 _add("gradient_boosting_regressor", "regression",
      N_EST + BOOST + [P("loss", "cat", choices=("squared_error", "absolute_error", "huber"))],
      _gbt(regression=True), ["bins"])

@@ -10,7 +10,7 @@ window over that summary table, whose size is about partitions + keys.
 
 ``row_index``   0-based position of each row inside its key group
 ``running_max`` maximum of a value over all earlier rows of the key group
-``lag_join``    value k positions earlier, as an equi-join on (key, index)
+``lags``        values k positions earlier, from blocks that bring the last rows of the block before
 """
 
 from __future__ import annotations
@@ -112,28 +112,31 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     return joined.drop(_PID, _MID, *[f"__c_{v}" for v in values])
 
 
-def lag_join(df: DataFrame, keys: Sequence[str], idx: str, value: str, lags: Sequence[int],
-             prefix: str = "lag") -> DataFrame:
-    """Long table ``(keys, idx, lag, value, lagged)`` pairing each row with the
-    row ``lag`` positions earlier in the same key group (inner: rows without a
-    predecessor at that distance are absent).  Join keys are (key, index), so
-    a hot key spreads over all reducers."""
-    keys = list(keys)
-    lags_arr = F.array(*[F.lit(int(k)) for k in lags])
-    left = df.select(*keys, idx, value).withColumn("lag", F.explode(lags_arr)) \
-        .withColumn("__src", F.col(idx) - F.col("lag"))
-    right = df.select(*[F.col(k) for k in keys], F.col(idx).alias("__src"),
-                      F.col(value).alias(f"{prefix}_value"))
-    return null_safe_join(left, right, [*keys, "__src"]).drop("__src")
+LAG_BLOCK = 65_536  # rows of a key that one window partition holds
+
+
+def lags(df: DataFrame, keys: Sequence[str], idx: str, values: Sequence[str], ks: Sequence[int], block: int | None = None) -> DataFrame:
+    """``df`` with ``<value>_lag<k>``: the value ``k`` positions earlier in the key group, null where
+    there is none.
+
+    A key's rows are cut into blocks of consecutive positions, and the last rows of each block go to the next
+    one as well, so a window over (key, block) sees all it needs: one shuffle of little more than one copy of the rows,
+    no join, and a hot key is as many partitions as it has blocks.  ``idx`` is the 0-based position in the
+    group, without gaps (``row_index``)."""
+    keys, most = list(keys), max(ks)
+    size = max(block or LAG_BLOCK, most + 1)
+    own = F.floor(F.col(idx) / size).cast("bigint")
+    goes_on = F.col(idx) % size >= size - most
+    spread = df.withColumn("__block", F.explode(F.when(goes_on, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy(*keys, "__block").orderBy(idx)
+    back = spread.withColumns({f"{v}_lag{k}": F.lag(v, k).over(w) for v in values for k in ks})
+    return back.where(F.col("__block") == own).drop("__block")
 
 
 def first_difference(df: DataFrame, keys: Sequence[str], idx: str, value: str,
                      out: str = "diff") -> DataFrame:
     """``value - previous value`` within each key group (null for the first row)."""
-    keys = list(keys)
-    prev = df.select(*keys, (F.col(idx) + 1).alias(idx), F.col(value).alias("__prev"))
-    return null_safe_join(df, prev, [*keys, idx], "left").withColumn(
-        out, F.col(value) - F.col("__prev")).drop("__prev")
+    return lags(df, keys, idx, [value], [1]).withColumn(out, F.col(value) - F.col(f"{value}_lag1")).drop(f"{value}_lag1")
 
 
 def top_k(df: DataFrame, k: int, order_by: Sequence[Column]) -> DataFrame:

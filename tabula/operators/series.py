@@ -2,8 +2,8 @@
 Shapiro-Wilk normality test (H6).
 
 Positions come from ``row_index`` (range partitions with offsets), so a series
-holding a third of all rows is still spread over many tasks; lags are
-equi-joins on (key, position).
+holding a third of all rows is still spread over many tasks; lags come from blocks of
+positions with a halo (``ordering.lags``).
 
 * ``acf``: r_k = sum_t z_t z_{t-k} / sum_t z_t^2 with z = x - mean (per key).
 * ``pacf``: Durbin-Levinson on the ACF (the Yule-Walker / MLE form), run by
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabula.functions import distributions as D
-from tabula.operators.ordering import lag_join, null_safe_join, row_index
+from tabula.operators.ordering import lags, null_safe_join, row_index
 
 
 def indexed(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -44,10 +44,19 @@ def acf(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, nl
     s = df if is_indexed else indexed(df, keys, order, value)
     m = s.groupBy(*keys).agg(F.avg(value).alias("__m"), F.count(F.lit(1)).alias("__n"))
     z = null_safe_join(s, m, keys).select(*keys, "idx", (F.col(value) - F.col("__m")).alias("z"))
-    den = z.groupBy(*keys).agg(F.sum(F.col("z") * F.col("z")).alias("__ss"))
-    pairs = lag_join(z, keys, "idx", "z", range(1, nlags + 1), prefix="lag")
-    num = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("z") * F.col("lag_value")).alias("__num"))
-    return null_safe_join(num, den, keys).select(*keys, "lag", F.try_divide("__num", "__ss").alias("acf"))
+    return _autocorrelations(lags(z, keys, "idx", ["z"], range(1, nlags + 1)), keys, "z", nlags)
+
+
+def _autocorrelations(wide: DataFrame, keys: list[str], value: str, nlags: int) -> DataFrame:
+    """``(keys, lag, acf)`` from a table with the lags as columns: one aggregate of all products; a lag
+    that no row of a key has gives no row."""
+    v = F.col(value)
+    sums = wide.groupBy(*keys).agg(F.sum(v * v).alias("__ss"), F.max("idx").alias("__last"), F.min("idx").alias("__first"),
+                                   *[F.sum(v * F.col(f"{value}_lag{k}")).alias(f"__{k}") for k in range(1, nlags + 1)])
+    long = sums.select(*keys, "__ss", "__last", "__first", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("lag"), F.col(f"__{k}").alias("num")) for k in range(1, nlags + 1)])).alias("__l"))
+    return long.where(F.col("__l.lag") <= F.col("__last") - F.col("__first")) \
+        .select(*keys, F.col("__l.lag").alias("lag"), F.try_divide("__l.num", "__ss").alias("acf"))
 
 
 def durbin_levinson(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,34 +100,26 @@ def arima111(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: st
     short or too flat to estimate has nulls and says so in ``reason``."""
     keys = list(keys)
     x = indexed(df, keys, order, value)
-    prev = x.select(*keys, (F.col("idx") + 1).alias("idx"), F.col(value).alias("__prev"))
-    d = null_safe_join(x, prev, [*keys, "idx"]).select(*keys, "idx", (F.col(value) - F.col("__prev")).alias("d"))
-    # step 1: long AR(m) on the differences (Yule-Walker from the ACF about zero mean)
-    dd = d.select(*keys, "idx", "d")
-    ss = dd.groupBy(*keys).agg(F.sum(F.col("d") * F.col("d")).alias("__ss"), F.count(F.lit(1)).alias("n"))
-    lp = lag_join(dd, keys, "idx", "d", range(1, long_ar + 1), prefix="lag")
-    r = lp.groupBy(*keys, "lag").agg(F.sum(F.col("d") * F.col("lag_value")).alias("__num"))
-    r = null_safe_join(r, ss, keys).select(*keys, "lag", F.try_divide("__num", "__ss").alias("acf"))
+    d = lags(x, keys, "idx", [value], [1]).where("idx > 0").select(*keys, "idx", (F.col(value) - F.col(f"{value}_lag1")).alias("d"))
+    # step 1: long AR(m) on the differences (Yule-Walker from the ACF about zero mean); positions of d begin at 1
+    wide = lags(d.withColumn("idx", F.col("idx") - 1), keys, "idx", ["d"], range(1, long_ar + 1)).withColumn("idx", F.col("idx") + 1)
+    r = _autocorrelations(wide, keys, "d", long_ar)
     coef_schema = T.StructType([r.schema[k] for k in keys] +
-                               [T.StructField("lag", T.IntegerType()), T.StructField("a", T.DoubleType())])
+                               [T.StructField("a", T.ArrayType(T.DoubleType()))])
 
     def ar_coef(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")
         _, a = durbin_levinson(pdf["acf"].to_numpy(dtype=float))
-        out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=range(len(a)))
-        out["lag"] = np.arange(1, len(a) + 1, dtype=np.int32)
-        out["a"] = a
+        out = pd.DataFrame({k: pdf[k].iloc[0] for k in keys}, index=range(1))
+        out["a"] = [a.tolist()]
         return out
 
     a = r.groupBy(*keys).applyInPandas(ar_coef, coef_schema)
-    fitted = null_safe_join(lp, a, [*keys, "lag"]).groupBy(*keys, "idx").agg(
-        F.first("d").alias("d"), F.sum(F.col("a") * F.col("lag_value")).alias("__fit"),
-        F.count(F.lit(1)).alias("__m"))
-    e = fitted.where(F.col("__m") == long_ar).select(*keys, "idx", (F.col("d") - F.col("__fit")).alias("e"))
+    full = null_safe_join(wide.where(F.col("idx") > long_ar), a.where(F.size("a") == long_ar), keys)
+    fit = sum((F.col("a")[k - 1] * F.col(f"d_lag{k}") for k in range(2, long_ar + 1)), F.col("a")[0] * F.col("d_lag1"))
+    e = full.select(*keys, (F.col("idx") - long_ar - 1).alias("idx"), "d", (F.col("d") - fit).alias("e"))
     # step 2: d_t on d_{t-1} and e_{t-1}
-    d1 = d.select(*keys, (F.col("idx") + 1).alias("idx"), F.col("d").alias("d1"))
-    e1 = e.select(*keys, (F.col("idx") + 1).alias("idx"), F.col("e").alias("e1"))
-    reg = null_safe_join(null_safe_join(d, d1, [*keys, "idx"]), e1, [*keys, "idx"])
+    reg = lags(e, keys, "idx", ["d", "e"], [1]).where("idx > 0").withColumnsRenamed({"d_lag1": "d1", "e_lag1": "e1"})
     g = reg.groupBy(*keys).agg(
         F.sum(F.col("d1") * F.col("d1")).alias("s11"), F.sum(F.col("d1") * F.col("e1")).alias("s12"),
         F.sum(F.col("e1") * F.col("e1")).alias("s22"), F.sum(F.col("d1") * F.col("d")).alias("s1y"),

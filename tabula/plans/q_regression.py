@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tabula.functions.expressions import round_doubles
 from tabula.operators import linear as L
@@ -140,33 +141,40 @@ def vif_table(spark, sf_dir):
 
 
 @register("anova_type1", _MOM + """
-SELECT 'l_quantity' AS term, 1.0 AS df, round(s1y * s1y / s11, -2) AS sum_sq, round(s1y * s1y / s11, -2) AS mean_sq,
-       round((s1y * s1y / s11) / sigma2, 4) AS f_stat FROM f
-UNION ALL SELECT 'l_discount', 1.0, round(b1 * s1y + b2 * s2y - s1y * s1y / s11, -2),
-       round(b1 * s1y + b2 * s2y - s1y * s1y / s11, -2), round((b1 * s1y + b2 * s2y - s1y * s1y / s11) / sigma2, 4) FROM f
-UNION ALL SELECT 'Residual', CAST(n - 3 AS DOUBLE), round(sse, -2), round(sigma2, -2), NULL FROM f""")
+, a AS (SELECT 'l_quantity' AS term, 1.0 AS df, s1y * s1y / s11 AS sum_sq, sigma2, true AS tested FROM f
+  UNION ALL SELECT 'l_discount', 1.0, b1 * s1y + b2 * s2y - s1y * s1y / s11, sigma2, true FROM f
+  UNION ALL SELECT 'Residual', CAST(n - 3 AS DOUBLE), sse, sigma2, false FROM f)
+SELECT term, df, CAST(printf('%.9e', sum_sq) AS DOUBLE) AS sum_sq, CAST(printf('%.9e', sum_sq / df) AS DOUBLE) AS mean_sq,
+       CASE WHEN tested THEN round(sum_sq / df / sigma2, 4) END AS f_stat FROM a""")
 def anova_type1(spark, sf_dir):
     """Sequential sums of squares from nested sub-blocks of one Gram matrix."""
     rows = L.anova_type1(_lines(spark, sf_dir), [["l_quantity"], ["l_discount"]], X2, Y)
     df = spark.createDataFrame(
         [(r[0], float(r[1]), float(r[2]), float(r[3]), None if np.isnan(r[4]) else float(r[4])) for r in rows],
         "term string, df double, sum_sq double, mean_sq double, f_stat double")
-    # sums are near 1e14, so -2 is about their 12th digit
-    return df.select("term", "df", F.round("sum_sq", -2).alias("sum_sq"), F.round("mean_sq", -2).alias("mean_sq"),
-                     F.round("f_stat", 4).alias("f_stat"))
+    return df.select("term", "df", *[_digits(c) for c in ("sum_sq", "mean_sq")], F.round("f_stat", 4).alias("f_stat"))
+
+
+def _digits(col: str) -> Column:
+    """Ten significant digits: a rounding that does not depend on the size."""
+    return F.format_string("%.9e", F.col(col)).cast("double").alias(col)
 
 
 @register("anova_pvalues", _MOM + f"""
 , t AS (SELECT 'l_quantity' AS term, (s1y * s1y / s11) / sigma2 AS f_stat, CAST(n - 3 AS DOUBLE) AS d2 FROM f
   UNION ALL SELECT 'l_discount', (b1 * s1y + b2 * s2y - s1y * s1y / s11) / sigma2, CAST(n - 3 AS DOUBLE) FROM f)
-SELECT term, round(f_stat, 4) AS f_stat,
-       round(CASE WHEN f_stat > 1000 THEN 0.0 ELSE {f_tail("f_stat", "1.0", "d2")} END, 6) AS p_value FROM t""")
+SELECT term, 1.0 AS df, CAST(printf('%.9e', f_stat * sigma2) AS DOUBLE) AS sum_sq, CAST(printf('%.9e', f_stat * sigma2) AS DOUBLE) AS mean_sq,
+       round(f_stat, 4) AS f_stat,
+       round(CASE WHEN f_stat > 1000 THEN 0.0 ELSE {f_tail("f_stat", "1.0", "d2")} END, 6) AS p_value FROM t, f
+UNION ALL SELECT 'Residual', CAST(n - 3 AS DOUBLE), CAST(printf('%.9e', sse) AS DOUBLE), CAST(printf('%.9e', sigma2) AS DOUBLE), NULL, NULL FROM f""")
 def anova_pvalues(spark, sf_dir):
-    """F tests of the terms (upper tails of F)."""
+    """The ANOVA table: sums of squares, F tests of the terms (upper tails of F) and the residual row."""
     rows = L.anova_type1(_lines(spark, sf_dir), [["l_quantity"], ["l_discount"]], X2, Y)
-    df = spark.createDataFrame([(r[0], float(r[4]), float(r[5])) for r in rows if r[0] != "Residual"],
-                               "term string, f_stat double, p_value double")
-    return df.select("term", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 6).alias("p_value"))
+    number = lambda v: None if np.isnan(v) else float(v)
+    df = spark.createDataFrame([(r[0], *map(number, r[1:6])) for r in rows],
+                               "term string, df double, sum_sq double, mean_sq double, f_stat double, p_value double")
+    return df.select("term", "df", *[_digits(c) for c in ("sum_sq", "mean_sq")], F.round("f_stat", 4).alias("f_stat"),
+                     F.round("p_value", 6).alias("p_value"))
 
 
 _ONE = f"""
