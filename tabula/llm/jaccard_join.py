@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import SMALL_CHUNK, map_text, stored, text_chunks
+from tabula.llm.common import SMALL_CHUNK, give_back, map_text, stored, text_chunks
 from tabula.llm.filters import fixed_filter, maybe_in, probably_in
 from tabula.llm.components import components
 from tabula.llm.words import Words, hash_words, mix64, pack48, split_words, unpack48
@@ -149,14 +149,18 @@ def _shared_keys(texts: DataFrame, width: int, percent: int, cell_bits: int) ->
     shift = np.uint64(64 - cell_bits - 48)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text in (t for b in batches for t in text_chunks(b.column(0))):
-            keys, _ = segment_keys(*shingle_sets(split_words(text, lower=True), width), percent)
+        give_back()
+        for batch in batches:
+            keys = np.concatenate([segment_keys(*shingle_sets(split_words(text, lower=True), width), percent)[0]
+                                   for text in text_chunks(batch.column(0), SMALL_CHUNK)])
             keys.sort()
             cell = (keys >> np.uint64(64 - cell_bits)).astype(np.int64)
             cut = np.flatnonzero(np.diff(cell)) + 1
             runs = list(zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(keys)]]), strict=True)) if len(keys) else []
             yield pa.RecordBatch.from_arrays([pa.array([int(cell[lo]) for lo, _ in runs], pa.int32()),
                                               pa.array([pack48(keys[lo:hi] >> shift) for lo, hi in runs], pa.binary())], names=["cell", "held"])
+            del keys, cell, cut, runs
+        give_back()
 
     def twice(table: pa.Table) -> pa.Table:
         held = np.sort(np.concatenate([unpack48(b) for b in table["held"].to_pylist()]))

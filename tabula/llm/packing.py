@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import give_back, held_by_worker, numbered_chunks, stored
+from tabula.llm.common import SMALL_CHUNK, give_back, held_by_worker, numbered_chunks, stored
 from tabula.llm.words import ragged_range, split_words
 
 MEMO_WORDS = 200_000
+ENCODE_WORDS = 10_000  # handed to the tokenizer at once, whose results are large objects
 CHUNK_WORDS = 200_000
 
 
@@ -127,8 +128,8 @@ class Encoder:
         self.size = len(self.memo)
         new = [w for w in words if w not in self.memo]
         held = dict.fromkeys(new, 0) if len(self.memo) + len(new) > MEMO_WORDS else self.memo
-        for lo in range(0, len(new), 50_000):
-            part = new[lo:lo + 50_000]
+        for lo in range(0, len(new), ENCODE_WORDS):
+            part = new[lo:lo + ENCODE_WORDS]
             got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             size = np.fromiter(map(len, got), np.int64, len(got))
             flat = np.fromiter((i for g in got for i in g), np.uint32, int(size.sum()))
@@ -174,7 +175,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen = Encoder.of(spec.value), np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
-        for batch, text, done in ((b, t, d) for b in batches for t, d in numbered_chunks(b.column(1))):
+        for batch, text, done in ((b, t, d) for b in batches for t, d in numbered_chunks(b.column(1), 2 * SMALL_CHUNK)):
             rows: list[tuple[int, int, int, int, int, int]] = []
             for i, ids in encoder.encode(text):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
