@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from tabula.functions import distributions as D
 from tabula.operators.linear import _rank_columns, qcol
 
+ROWS_PER_TASK = 50_000  # a Newton step is a pass over all partitions: small ones are read together
+
 
 def _eta(names: Sequence[str], coef: np.ndarray) -> Column:
     expr = F.lit(0.0)
@@ -118,7 +120,8 @@ def fit_glm(df: DataFrame, xcols: Sequence[str], y: str, family: str = "binomial
     data = df.where(complete).select(*[qcol(c).cast("double").alias(s) for c, s in zip(xcols, safe)],
                                      yv.alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit = _fit_glm(data, safe, "y", family, intercept, max_iter, tol)
+        tasks = max(1, -(-data.count() // ROWS_PER_TASK))
+        fit = _fit_glm(data.coalesce(tasks), safe, "y", family, intercept, max_iter, tol)
     finally:
         data.unpersist()
     rename = dict(zip(safe, xcols))
