@@ -1,8 +1,12 @@
 """Steps whose tasks must not grow with the input: partitions follow the work, workers hold bounded blocks."""
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from tabula.models import batched_logistic as BL
 from tabula.operators import glm as G
+from tabula.operators import metrics as ME
 
 
 def test_newton_passes_read_small_partitions_together(spark, monkeypatch):
@@ -13,3 +17,25 @@ def test_newton_passes_read_small_partitions_together(spark, monkeypatch):
     monkeypatch.setattr(G, "ROWS_PER_TASK", 50)
     fit = G.fit_glm(df, ["a"], "y")
     assert fit.n == 200 and set(seen) == {4}
+
+
+def test_auc_of_many_candidates_in_bounded_ranges(spark, monkeypatch):
+    """feature_group_search: ties, a constant score and one class of rows apart, equal to the AUC by key."""
+    rng = np.random.default_rng(3)
+    rows = [(-1, int(i % 3), float(rng.integers(0, 2)), [float(v) for v in rng.integers(0, 3, 2)]) for i in range(300)]
+    data = spark.createDataFrame(rows, "view int, fold int, y double, x array<double>").repartition(5)
+    candidates = [BL.Candidate(f, 1.0, 0.0) for f in (0, 1, 2, 0)]
+    betas = np.array([[0.1, 1.0, -0.5], [0.0, 0.2, 0.2], [0.3, 0.0, 0.0], [0.0, -1.0, 0.0]])
+    want = BL.candidate_metric(BL.validation_scores(data, candidates, betas), "roc_auc")
+    ranges, plain = [], ME.auc_of_counts
+    monkeypatch.setattr(ME, "auc_of_counts", lambda counts, key, n: ranges.append(n) or plain(counts, key, n))
+    monkeypatch.setattr(BL, "TASK_SCORES", 60)
+    got = BL.validation_auc(data, candidates, betas)
+    assert ranges == [7] and got.keys() == want.keys()  # 400 scores
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_rows_of_a_search_are_dealt_by_work(spark, monkeypatch):
+    monkeypatch.setattr(BL, "TASK_WORK", 1000)
+    rows = spark.range(100).coalesce(1)
+    assert BL.balanced(rows, 100, 50).rdd.getNumPartitions() == 5
