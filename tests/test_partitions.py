@@ -1,10 +1,12 @@
 """Steps whose tasks must not grow with the input: partitions follow the work, workers hold bounded blocks."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tabula.models import batched_logistic as BL
+from tabula.models import knn as KN
 from tabula.operators import glm as G
 from tabula.operators import metrics as ME
 
@@ -39,3 +41,23 @@ def test_rows_of_a_search_are_dealt_by_work(spark, monkeypatch):
     monkeypatch.setattr(BL, "TASK_WORK", 1000)
     rows = spark.range(100).coalesce(1)
     assert BL.balanced(rows, 100, 50).rdd.getNumPartitions() == 5
+
+
+def test_visits_come_in_bounded_blocks(spark, monkeypatch):
+    """knn_scores: a worker held the visits of a whole Arrow batch, 10,000 queries times all cells."""
+    monkeypatch.setattr(KN, "VISITS_AT_ONCE", 64)
+    cells = KN._Cells(np.arange(16.0)[:, None], "euclidean", 2)
+    cells.count[:], cells.high[:] = 5, 0.5
+    sizes = []
+
+    class Rows:
+        schema = spark.createDataFrame([], "space int, qid long, vec array<double>, kth double").schema
+
+        def mapInPandas(self, run, schema):
+            pdf = pd.DataFrame({"space": 0, "qid": range(40), "vec": [[7.0]] * 40, "kth": 99.0})
+            out = list(run(iter([pdf])))
+            sizes.extend(len(o) for o in out)
+            return pd.concat(out)
+
+    seen = KN._visits(Rows(), {0: cells}, 5, True)
+    assert len(seen) == 40 * 15 and max(sizes) <= 64
