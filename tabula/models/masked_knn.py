@@ -28,7 +28,7 @@ from tabula.models.knn import DONOR_BLOCK, MAX_PIVOTS, QUERY_BLOCK
 from tabula.session import cut_lineage
 
 MAX_MASKS = 512
-CELLS_AT_ONCE = 1 << 22  # numbers of a (queries x cells) matrix
+CELLS_AT_ONCE = 1 << 19  # numbers of a (queries x cells) matrix, of which a worker holds some ten
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -163,8 +163,8 @@ def _visits(queries: DataFrame, cells: _Cells, k: int, bounded: bool) -> DataFra
 
 
 def _meet(visits: DataFrame, dealt: DataFrame, k: int) -> DataFrame:
-    """For each missing column of a query the k nearest donors that hold it, of every block it visits."""
-    visits = cut_lineage(visits)
+    """For each missing column of a query the k nearest donors that hold it, of every block it visits;
+    ``visits`` are written already."""
     loads = cut_lineage(visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("batches"))) \
         .join(cut_lineage(dealt.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / DONOR_BLOCK).cast("int").alias("chunks"))), "cell")
     q = visits.join(loads, "cell").withColumns({
@@ -181,20 +181,23 @@ def _meet(visits: DataFrame, dealt: DataFrame, k: int) -> DataFrame:
         if not left.num_rows or not right.num_rows:
             return empty
         right = right.sort_by("did")
-        x, y = (_matrix(t.column("vec").combine_chunks()) for t in (left, right))
-        dist, out = shared_distances(x, y), []
-        for t in range(x.shape[1]):
-            rows, cols = np.flatnonzero(np.isnan(x[:, t])), np.flatnonzero(~np.isnan(y[:, t]))
-            if not len(rows) or not len(cols):
-                continue
-            near = dist[np.ix_(rows, cols)]
-            best = np.argsort(near, axis=1, kind="stable")[:, :k]
-            row, col = np.repeat(np.arange(len(rows)), best.shape[1]), best.ravel()
-            found = np.isfinite(near[row, col])
-            row, col = row[found], col[found]
-            out.append(pa.table([left.column("qid").take(pa.array(rows[row])), pa.array(np.full(len(row), t, np.int32)),
-                                 right.column("did").take(pa.array(cols[col])), pa.array(near[row, col]), pa.array(y[cols[col], t])],
-                                schema=schema_arrow))
+        every, y = (_matrix(t.column("vec").combine_chunks()) for t in (left, right))
+        out, step = [], max(1, CELLS_AT_ONCE // len(y))
+        for lo in range(0, len(every), step):
+            x = every[lo:lo + step]
+            dist = shared_distances(x, y)
+            for t in range(x.shape[1]):
+                rows, cols = np.flatnonzero(np.isnan(x[:, t])), np.flatnonzero(~np.isnan(y[:, t]))
+                if not len(rows) or not len(cols):
+                    continue
+                near = dist[np.ix_(rows, cols)]
+                best = np.argsort(near, axis=1, kind="stable")[:, :k]
+                row, col = np.repeat(np.arange(len(rows)), best.shape[1]), best.ravel()
+                found = np.isfinite(near[row, col])
+                row, col = row[found], col[found]
+                out.append(pa.table([left.column("qid").take(pa.array(lo + rows[row])), pa.array(np.full(len(row), t, np.int32)),
+                                     right.column("did").take(pa.array(cols[col])), pa.array(near[row, col]), pa.array(y[cols[col], t])],
+                                    schema=schema_arrow))
         return pa.concat_tables(out) if out else empty
 
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabula.models import batched_logistic as BL
 from tabula.models import knn as KN
+from tabula.models import masked_knn as MK
 from tabula.operators import glm as G
 from tabula.operators import metrics as ME
 
@@ -61,3 +62,14 @@ def test_visits_come_in_bounded_blocks(spark, monkeypatch):
 
     seen = KN._visits(Rows(), {0: cells}, 5, True)
     assert len(seen) == 40 * 15 and max(sizes) <= 64
+
+
+def test_blocks_of_a_masked_search_are_cut(spark, monkeypatch):
+    """knn_imputed: the distances of a block are held a slice at a time, with the same neighbours."""
+    rng = np.random.default_rng(5)
+    cell = lambda v, j: None if rng.random() < 0.3 else float(v[j])
+    rows = [(i, [cell(v, j) for j in range(3)]) for i, v in enumerate(rng.integers(0, 5, (120, 3)))]
+    q, d = spark.createDataFrame(rows[:60], "qid long, vec array<double>"), spark.createDataFrame(rows[60:], "did long, vec array<double>")
+    want = sorted(map(tuple, MK.masked_neighbours(q, d, 3).collect()))
+    monkeypatch.setattr(MK, "CELLS_AT_ONCE", 16)
+    assert sorted(map(tuple, MK.masked_neighbours(q, d, 3).collect())) == want
