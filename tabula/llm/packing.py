@@ -29,6 +29,8 @@ from tabula.llm.words import ragged_range, split_words
 
 MEMO_WORDS = 200_000
 ENCODE_WORDS = 10_000  # handed to the tokenizer at once, whose results are large objects
+TEXT_WORDS = 500  # of these, in one text
+MARK = "\x01"  # stands alone between two words of such a text
 CHUNK_WORDS = 200_000
 
 
@@ -112,6 +114,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
+        alone, other = (self.tokenizer.encode(c, add_special_tokens=False).ids for c in (MARK, "\x02"))
+        self.mark = alone[0] if len(alone) == 1 and alone != other else None  # its own id, not that of unknown words
         self.memo: dict[str, int] = {}  # word -> slot s, with ids[starts[s]:starts[s + 1]]
         self.size = 0
         self.starts = np.zeros(1024, np.int64)
@@ -122,6 +126,19 @@ class Encoder:
         """The encoder of this worker process; the next packing task finds its words there."""
         return held_by_worker(("encoder", hash(spec)), lambda: Encoder(spec))
 
+    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and how many each has.  They go many to a text,
+        with ``MARK`` after each, since a result a word costs more than its tokens; alone where a word holds ``MARK``."""
+        if self.mark is not None and not any(MARK in w for w in words):
+            texts = [f" {MARK} ".join(words[i:i + TEXT_WORDS]) + f" {MARK}" for i in range(0, len(words), TEXT_WORDS)]
+            flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = np.flatnonzero(flat == self.mark)
+            if len(ends) == len(words):
+                return np.delete(flat, ends), np.diff(ends, prepend=-1) - 1
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter((i for g in got for i in g), np.uint32, int(size.sum())), size
+
     def word_slots(self, words: list[str]) -> np.ndarray:
         """Slots of distinct words.  The first ``MEMO_WORDS`` words are remembered,
         the slots of others hold until the next call."""
@@ -130,9 +147,7 @@ class Encoder:
         held = dict.fromkeys(new, 0) if len(self.memo) + len(new) > MEMO_WORDS else self.memo
         for lo in range(0, len(new), ENCODE_WORDS):
             part = new[lo:lo + ENCODE_WORDS]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for g in got for i in g), np.uint32, int(size.sum()))
+            flat, size = self.word_ids(part)
             while self.size + len(part) + 1 >= len(self.starts):
                 self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             at = self.starts[self.size]
@@ -143,7 +158,7 @@ class Encoder:
             held.update(zip(part, range(self.size, self.size + len(part)), strict=True))
             self.size += len(part)
         memo = self.memo
-        return np.fromiter((memo[w] if w in memo else held[w] for w in words), np.int64, len(words))
+        return np.fromiter((held[w] if (s := memo.get(w)) is None else s for w in words), np.int64, len(words))
 
     def encode(self, text: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of every text, in blocks of bounded size."""
