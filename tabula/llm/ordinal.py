@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabula.llm.common import SMALL_CHUNK, bounded_sample, map_text, numbered_chunks
+from tabula.llm.common import SMALL_CHUNK, bounded_sample, give_back, map_text, numbered_chunks
 from tabula.llm.words import hash_words, mix64, split_words
 
 BITS = 20
@@ -156,7 +156,10 @@ def fit_on_labels(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, id_col
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("text is not null")
     joined = texts.join(F.broadcast(chosen), "id")
     rows = sorted((r["text"], r["grade"]) for r in bounded_sample(joined, "id", "text", max_train, max_bytes).collect())
-    return fit([t for t, _ in rows], [g for _, g in rows], n_grades) if rows else None
+    model = fit([t for t, _ in rows], [g for _, g in rows], n_grades) if rows else None
+    del rows
+    give_back(forget=False)  # the driver lives on through the stages that follow
+    return model
 
 
 def grade_texts(docs: DataFrame, model: OrdinalModel | None, n_grades: int = 3, text_col: str = "text",

@@ -102,6 +102,30 @@ def test_array_merging_on_random_words():
     assert got.tolist() == [len(e.ids) for e in tok.encode_batch(words, add_special_tokens=False)]
 
 
+def test_words_go_to_the_tokenizer_many_to_a_text():
+    with open(BPE, encoding="utf-8") as f:
+        encoder = packing.Encoder(f.read())
+    inner, seen = encoder.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            seen.append(len(texts))
+            return inner.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder.tokenizer = Counting()
+    rng = random.Random(5)
+    plain = ["".join(rng.choices("abcXYZ'09.,-\u00e9\u4e2d\u0308<|>", k=rng.randint(1, 9))) + str(i) for i in range(3000)]
+    odd = ["a\x01b", "\x01", "\x02", "<|endoftext|>", "x<|startoftext|>y", "\u00a0", "don't", "\u0308e", "\u2028"]
+    for words, most in ((plain, 3000 // packing.TEXT_WORDS), (odd, len(odd)), (odd[2:], 1)):
+        del seen[:]
+        flat, size = encoder.word_ids(words)
+        assert sum(seen) <= most and len(size) == len(words)
+        assert [p.tolist() for p in np.split(flat, np.cumsum(size)[:-1])] == [inner.encode(w, add_special_tokens=False).ids for w in words]
+    encoder.mark = None
+    assert [a.tolist() for a in encoder.word_ids(odd)] == [a.tolist() for a in (np.concatenate(
+        [np.array(inner.encode(w, add_special_tokens=False).ids, np.uint32) for w in odd]), np.array([len(inner.encode(w, add_special_tokens=False).ids) for w in odd]))]
+
+
 def check_packing(docs, rows, capacity):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(BPE)
@@ -533,6 +557,14 @@ def test_ordinal_grades(spark, odd, empty):
     assert ordinal.grade_texts(odd, None, only_kept=True).count() == len(odd_rows())
 
 
+def test_driver_gives_memory_back_after_the_fit(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "fine words here " * 3 if i % 2 else "poor spam text") for i in range(40)], "doc_id long, text string")
+    ratings = docs.select("doc_id", (F.col("doc_id") % 3).cast("int").alias("grade"))
+    given = []
+    monkeypatch.setattr(ordinal, "give_back", lambda forget=True: given.append(forget))
+    assert ordinal.fit_on_labels(docs, ratings) is not None and given == [False]
+
+
 def test_ordinal_gradient_lowers_the_loss():
     rows = rated(2, 300)
     model = ordinal.fit([r[1] for r in rows], [r[2] for r in rows], 3)
