@@ -87,6 +87,49 @@ def test_metrics_of_all_candidates(rows, data):
         assert got["f1"][i] == pytest.approx(f1) and got["precision"][i] == pytest.approx(precision)
 
 
+def test_a_pass_takes_few_rows_at_a_time(rows, data, monkeypatch):
+    monkeypatch.setattr(BL, "PAIR_BYTES", 1)  # 64 rows
+    x, y, fold = data
+    folds, betas = np.arange(5), np.random.default_rng(3).normal(size=(5, 7))
+    betas[4] *= 300.0  # probabilities of 0 and 1
+    with np.errstate(over="raise"):
+        loss, score, hess = BL._pass(rows, folds, betas, None)
+    for f in range(5):
+        train = fold != f
+        design = np.hstack([np.ones((train.sum(), 1)), x[train]])
+        eta = design @ betas[f]
+        p = np.exp(-np.logaddexp(0, -eta))
+        assert loss[f] == pytest.approx(np.sum(np.logaddexp(0, eta) - y[train] * eta))
+        assert np.allclose(score[f], design.T @ (y[train] - p)) and np.allclose(hess[f], (design * (p * (1 - p))[:, None]).T @ design)
+
+
+def test_scores_are_counted_in_the_worker_that_makes_them(rows, data, monkeypatch):
+    plans, real = [], BL.ME.auc_of_counts
+
+    def seen(counts, *more):
+        plans.append(counts._jdf.queryExecution().executedPlan().toString())
+        return real(counts, *more)
+
+    monkeypatch.setattr(BL.ME, "auc_of_counts", seen)
+    some = GRID[::9]
+    assert len(BL.validation_auc(rows, some, BL.fit_candidates(rows, some))) == len(some)
+    assert plans[0].split("InMemoryTableScan")[0].count("MapInArrow") == 1
+
+
+def test_tuned_refit_makes_its_table_once(spark, monkeypatch):
+    from tabula.plans import q_models as Q
+    trials = spark.createDataFrame([(0, 0.8, json.dumps({"C": 1.0, "penalty": "l2", "max_iter": 100}))], "trial int, value double, params string")
+    monkeypatch.setattr(Q, "_logistic_trials", lambda *a: trials)
+    held, real = [], SE.evaluate
+
+    def seen(pred, metric, *more):
+        held.append(pred.storageLevel.useMemory)
+        return real(pred, metric, *more)
+
+    monkeypatch.setattr(SE, "evaluate", seen)
+    assert Q.tuned_refit_scores(spark, SF_SMALL).count() == 6 and held == [True] * 6
+
+
 def test_scales_and_columns_of_a_group_search(spark, rows, data):
     x, y, fold = data
     scales = BL.fold_scales(rows, range(5))
