@@ -12,6 +12,7 @@ of earlier tasks, so no length gathers its pieces in one task.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator, Sequence
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabula.llm.bpe_count import byte_letters
 from tabula.llm.common import SMALL_CHUNK, give_back, held_by_worker, numbered_chunks, stored
-from tabula.llm.words import ragged_range, split_words
+from tabula.llm.words import split_words
 
-MEMO_WORDS = 200_000
+MEMO_PARTS = 200_000
 ENCODE_WORDS = 10_000  # handed to the tokenizer at once, whose results are large objects
 TEXT_WORDS = 500  # of these, in one text
 MARK = "\x01"  # stands alone between two words of such a text
@@ -103,11 +105,59 @@ def plan_bins(histogram: dict[int, int], capacity: int) -> list[Run]:
     return runs
 
 
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # of the tokenizer files whose plain words are cut here
+ODD, LETTER, DIGIT, SIGN = range(4)
+
+
+def byte_kinds() -> np.ndarray:
+    """Kind of each byte of a word.  A word without an odd byte is plain: ASCII signs, digits
+    and letters and, behind byte C3, the letters U+00C0 to U+00FF."""
+    kind = np.full(256, ODD, np.uint8)
+    kind[0x21:0x7F] = SIGN
+    kind[ord("'")] = ODD  # may begin a contraction
+    kind[ord("0"):ord("9") + 1] = DIGIT
+    kind[ord("A"):ord("Z") + 1] = kind[ord("a"):ord("z") + 1] = kind[0xC3] = LETTER
+    return kind
+
+
+KINDS = byte_kinds()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
+LETTERS = np.array([ord(c) for c in byte_letters()], "<u4")  # code point of each byte in the vocabulary
+LETTERS[ord(" ")] = ord(" ")
+
+
+def cuts_plain_words(spec: dict) -> bool:
+    """Whether the file lower-cases and splits as ``Encoder.parts`` does."""
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    model = spec["model"]
+    return ([s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and [s["type"] for s in split] == ["Split", "ByteLevel"] and split[0]["pattern"] == {"Regex": SPLIT}
+            and split[0]["behavior"] == "Removed" and split[0]["invert"]
+            and not split[1]["add_prefix_space"] and not split[1]["use_regex"]
+            and model.get("type") == "BPE" and bool(model.get("end_of_word_suffix"))
+            and not spec.get("truncation") and not spec.get("padding"))
+
+
+def raw_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a large binary array."""
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int64)[values.offset:values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    return at - at[0], np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]]
+
+
+def large_array(kind: pa.DataType, at: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(kind, len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(data)])
+
+
 class Encoder:
-    """Token ids of a text through ids remembered per distinct word.
+    """Token ids of a text through ids remembered per distinct part of a word.
 
     White space is dropped by the tokenizer and never joins two words, so the
-    ids of a text are those of its words in turn."""
+    ids of a text are those of its words in turn.  A plain word is lower-cased and cut into the
+    tokenizer's runs of letters, digits and runs of signs here, many words at once, and its parts
+    go to the tokenizer's model; any other word is one part and passes through the whole tokenizer."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -116,14 +166,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         alone, other = (self.tokenizer.encode(c, add_special_tokens=False).ids for c in (MARK, "\x02"))
         self.mark = alone[0] if len(alone) == 1 and alone != other else None  # its own id, not that of unknown words
-        self.memo: dict[str, int] = {}  # word -> slot s, with ids[starts[s]:starts[s + 1]]
+        parsed = json.loads(spec)
+        self.kinds = KINDS.copy()
+        if cuts_plain_words(parsed):
+            suffix, vocab = parsed["model"]["end_of_word_suffix"], parsed["model"]["vocab"]
+            # the first byte of a special string or of the suffix makes a word odd
+            self.kinds[[t.encode()[0] for t in [suffix, *(a["content"] for a in parsed["added_tokens"])]]] = ODD
+            self.final = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a part
+            self.final[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+            bare = {**parsed, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None}
+            self.model = Tokenizer.from_str(json.dumps(bare))
+        else:
+            self.kinds[:] = ODD
+        self.memo: dict[str, int] = {}  # part -> slot s, with ids[starts[s]:starts[s + 1]]
         self.size = 0
         self.starts = np.zeros(1024, np.int64)
         self.ids = np.zeros(4096, np.uint32)
 
     @staticmethod
     def of(spec: str) -> Encoder:
-        """The encoder of this worker process; the next packing task finds its words there."""
+        """The encoder of this worker process; the next packing task finds its parts there."""
         return held_by_worker(("encoder", hash(spec)), lambda: Encoder(spec))
 
     def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,39 +201,79 @@ class Encoder:
         size = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter((i for g in got for i in g), np.uint32, int(size.sum())), size
 
-    def word_slots(self, words: list[str]) -> np.ndarray:
-        """Slots of distinct words.  The first ``MEMO_WORDS`` words are remembered,
+    def plain_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of parts of plain words, whose bytes are spelled in the letters of the
+        vocabulary here, so that only the model is left to the library."""
+        texts = [LETTERS[np.frombuffer(" ".join(parts[i:i + TEXT_WORDS]).encode(), np.uint8)].tobytes().decode("utf-32-le")
+                 for i in range(0, len(parts), TEXT_WORDS)]
+        flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.final[flat])
+        return (flat, np.diff(ends, prepend=-1)) if len(ends) == len(parts) else self.word_ids(parts)
+
+    def parts(self, vocab: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Parts of non-empty words end to end, the place of every word's first (and their number),
+        and whether the word is odd."""
+        at, data = raw_bytes(vocab.cast(pa.large_binary()))
+        kind, low = self.kinds[data], LOWER[data]
+        second = np.zeros(len(data), bool)
+        second[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (kind[:-1] == LETTER)
+        second &= (data != 0x97) & (data != 0xB7)  # U+00D7 and U+00F7 are signs
+        kind[second] = LETTER
+        low[second & (data < 0x9F)] += 32
+        odd = np.logical_or.reduceat(kind == ODD, at[:-1]) if len(at) > 1 else np.zeros(0, bool)
+        whole = np.repeat(odd, np.diff(at))
+        first = np.ones(len(data), bool)
+        first[1:] = ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)) & ~whole[1:]
+        first[at[:-1]] = True
+        begin = np.append(np.flatnonzero(first), len(data))
+        return large_array(pa.large_string(), begin, np.where(whole, data, low)), np.searchsorted(begin, at), odd
+
+    def part_slots(self, parts: list[str], odd: np.ndarray) -> np.ndarray:
+        """Slots of distinct parts.  The first ``MEMO_PARTS`` parts are remembered,
         the slots of others hold until the next call."""
-        self.size = len(self.memo)
-        new = [w for w in words if w not in self.memo]
-        held = dict.fromkeys(new, 0) if len(self.memo) + len(new) > MEMO_WORDS else self.memo
-        for lo in range(0, len(new), ENCODE_WORDS):
-            part = new[lo:lo + ENCODE_WORDS]
-            flat, size = self.word_ids(part)
-            while self.size + len(part) + 1 >= len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            at = self.starts[self.size]
-            while at + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[at:at + len(flat)] = flat
-            self.starts[self.size + 1:self.size + len(part) + 1] = at + np.cumsum(size)
-            held.update(zip(part, range(self.size, self.size + len(part)), strict=True))
-            self.size += len(part)
-        memo = self.memo
-        return np.fromiter((held[w] if (s := memo.get(w)) is None else s for w in words), np.int64, len(words))
+        known = self.size = len(self.memo)
+        slots = np.fromiter((self.memo.get(p, -1) for p in parts), np.int64, len(parts))
+        added: list[str] = []
+        for which, ids_of in ((~odd, self.plain_ids), (odd, self.word_ids)):
+            new = np.flatnonzero(which & (slots < 0))
+            for lo in range(0, len(new), ENCODE_WORDS):
+                at = new[lo:lo + ENCODE_WORDS]
+                part = [parts[i] for i in at]
+                flat, size = ids_of(part)
+                while self.size + len(part) + 1 >= len(self.starts):
+                    self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+                end = self.starts[self.size]
+                while end + len(flat) > len(self.ids):
+                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+                self.ids[end:end + len(flat)] = flat
+                self.starts[self.size + 1:self.size + len(part) + 1] = end + np.cumsum(size)
+                slots[at] = np.arange(self.size, self.size + len(part))
+                self.size += len(part)
+                added += part[:max(0, MEMO_PARTS - known - len(added))]
+        self.memo.update(zip(added, range(known, known + len(added)), strict=True))
+        return slots
+
+    def spelled(self, vocab: pa.Array) -> pa.Array:
+        """Every word's ids, as the bytes of a binary array, which Arrow gathers by copying."""
+        parts, first, odd = self.parts(vocab)
+        coded = parts.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        whole = np.zeros(len(coded.dictionary), bool)
+        whole[codes] = np.repeat(odd, np.diff(first))
+        slots = self.part_slots(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), whole)  # quicker than to_pylist
+        held = large_array(pa.large_binary(), self.starts[:self.size + 1] * 4, self.ids)
+        at, data = raw_bytes(held.take(pa.array(slots[codes])))
+        return large_array(pa.large_binary(), at[first], data)
 
     def encode(self, text: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         """(row, ids) of every text, in blocks of bounded size."""
         words = split_words(text)
-        slots = self.word_slots(words.vocab.to_pylist())
-        size = self.starts[slots + 1] - self.starts[slots]
+        spelled = self.spelled(words.vocab)
         row, n = 0, len(text)
         while row < n:
             end = max(row + 1, int(np.searchsorted(words.starts, words.starts[row] + CHUNK_WORDS, "right")) - 1)
-            codes = words.codes[words.starts[row]:words.starts[end]]
-            flat = self.ids[ragged_range(self.starts[slots[codes]], size[codes])]
-            total = np.concatenate([[0], np.cumsum(size[codes])])
-            bounds = total[words.starts[row:end + 1] - words.starts[row]]
+            at, data = raw_bytes(spelled.take(pa.array(words.codes[words.starts[row]:words.starts[end]])))
+            flat, bounds = data.view(np.uint32), at[words.starts[row:end + 1] - words.starts[row]] // 4
             for i in range(row, end):
                 yield i, flat[bounds[i - row]:bounds[i - row + 1]]
             row = end

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import json
 import math
 import pathlib
 import random
@@ -126,6 +127,29 @@ def test_words_go_to_the_tokenizer_many_to_a_text():
         [np.array(inner.encode(w, add_special_tokens=False).ids, np.uint32) for w in odd]), np.array([len(inner.encode(w, add_special_tokens=False).ids) for w in odd]))]
 
 
+def test_parts_of_words_are_remembered_not_words():
+    with open(BPE, encoding="utf-8") as f:
+        spec = f.read()
+    encoder = packing.Encoder(spec)
+    tok, rng = encoder.tokenizer, random.Random(7)
+
+    def same(texts):
+        got = dict(encoder.encode(pa.array(texts, pa.string())))
+        assert [got[i].tolist() for i in range(len(texts))] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    same(["Haus haus, HAUS!! (haus)", None, "\u00c9T\u00c9 \u00e9t\u00e9.,", " 2 haus22"])
+    assert set(encoder.memo) == {"haus", ",", "!!", "(", ")", "\u00e9t\u00e9", ".,", "2"}
+    for alphabet in ("".join(map(chr, [*range(1, 0x180), 0x308, 0x4e2d, 0x2028])), "aB'\u00c9\u00df\u00d7\u00f7\u00ff1.,<>| s", "</w> ab", "\u00c0Z "):
+        same(["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(1000)])
+    same(["<|endoftext|>", "a<|startoftext|>.", "don't it's .'s 's", "\x01", "", None, "x" * 70000 + " y" * 250000, "z"])
+    other = json.loads(spec)  # a file that splits in another way: every word is one part
+    other["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": r"[\p{L}]{1,2}|[^\s]"}
+    encoder = packing.Encoder(json.dumps(other))
+    tok = encoder.tokenizer
+    same(["Haus haus, 22", "\u00e9t\u00e9. abc"])
+    assert set(encoder.memo) == {"Haus", "haus,", "22", "\u00e9t\u00e9.", "abc"}
+
+
 def check_packing(docs, rows, capacity):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(BPE)
