@@ -12,9 +12,11 @@ is read as its smallest count, so seen mass is never overstated by rounding.
     P(w | v) = (c(v, w) + MU * P0(w)) / (c(v) + MU),   P0 the add-0.1 unigram
 
 Cells are grouped by the hash of the word (for bigrams, of the first word).  When
-all cells exceed ``max_broadcast`` bytes, the text is scored in several passes,
-each over the pairs of one block of first words and one block of second words; the
-sums add up to the same score.
+all cells exceed ``max_broadcast`` bytes, they stay where they are: the texts are cut
+into written batches, a batch sends every cell its distinct keys with their training
+counts, the cell task builds its filter from these, probes it for the same keys and
+answers with one level a key (words: with the count), and the batch is scored where
+its answers meet it.  Text and keys cross the shuffle once, whatever their number.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +43,8 @@ ADD = 0.1
 END = np.uint64(0xE3D0000000000001)  # the end token, also the history of a first word
 MULT = np.uint64(0x9E3779B97F4A7C15)
 MASK = np.uint64((1 << KEY_BITS) - 1)
+TEXT_OF_CELLS = 4  # more training text than so many times what is broadcast: its cells are not tried
+MOST_LEVEL = 64    # of a count of 32 bits
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
@@ -129,6 +134,18 @@ def _runs(cell: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(cell[lo]), int(lo), int(hi)
 
 
+def _filter_of(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, int]:
+    """The Bloom filter of a cell, a byte a bit and full to the next eight, and its bits."""
+    level = level_of(n)
+    bits = min(MOST_BITS, max(64, BITS_PER_ENTRY * int(level.sum())))
+    on = np.zeros(-(-bits // 8) * 8, bool)
+    for q in range(1, int(level.max()) + 1):
+        first, stride = _steps(keys[level >= q], q)
+        for i in range(PROBES):
+            on[_place(first, stride, i, np.uint64(bits))] = True
+    return on, bits
+
+
 def _cells(counted: DataFrame) -> DataFrame:
     """Per cell: distinct keys, their total, and either the sorted keys with counts
     (words) or the Bloom filter (bigrams)."""
@@ -149,13 +166,7 @@ def _cells(counted: DataFrame) -> DataFrame:
         if kind == 0:
             blob = keys.tobytes() + np.minimum(n, 0xFFFFFFFF).astype(np.uint32).tobytes()
         else:
-            level = level_of(n)
-            bits = min(MOST_BITS, max(64, BITS_PER_ENTRY * int(level.sum())))
-            on = np.zeros(-(-bits // 8) * 8, bool)
-            for q in range(1, int(level.max()) + 1):
-                first, stride = _steps(keys[level >= q], q)
-                for i in range(PROBES):
-                    on[_place(first, stride, i, np.uint64(bits))] = True
+            on, bits = _filter_of(keys, n)
             blob = np.packbits(on, bitorder="little").tobytes()
         return pa.Table.from_arrays([pa.array([x], t) for x, t in (
             (kind, pa.int32()), (cell, pa.int32()), (len(keys), pa.int64()), (int(n.sum()), pa.int64()),
@@ -167,11 +178,10 @@ def _cells(counted: DataFrame) -> DataFrame:
 class CountFilter:
     """The broadcast cells: exact word counts, and bigram counts by probing."""
 
-    def __init__(self, cells: Iterable, sizes: list, firsts: range, seconds: range, total: int, distinct: int,
-                 sub_bits: int):
+    def __init__(self, cells: Iterable, sizes: list, total: int, distinct: int, sub_bits: int):
         """``sizes`` lists the cells that ``cells`` yields (in any order), without blobs:
         every array is allocated once and filled cell by cell."""
-        self.firsts, self.seconds, self.total, self.distinct = firsts, seconds, total, distinct
+        self.total, self.distinct = total, distinct
         self.sub_bits, n_cells = sub_bits, 1 << (GROUP_BITS + sub_bits)
         self.bits, self.base = np.zeros(n_cells, np.uint64), np.zeros(n_cells, np.uint64)
         place, at = {}, [0, 0]
@@ -216,34 +226,193 @@ class CountFilter:
         return count_of(out)
 
 
-def _scorer(cells: CountFilter):
-    mass = cells.total + ADD * (cells.distinct + 1)
+def _sums(starts: np.ndarray, count: np.ndarray, before: np.ndarray, seen: np.ndarray, total: int, distinct: int) -> dict:
+    """Of every text: tokens, known ones, and its logarithms from the counts of tokens, of those before them and of pairs."""
+    p0 = (count + ADD) / (total + ADD * (distinct + 1))
+    score = np.log10(np.where(before > 0, (seen + MU * p0) / (before + MU), p0))
+    sums = [np.concatenate([[0], np.cumsum(x)]) for x in (np.log10(p0), score, count > 0)]
+    base_sum, score_sum, known = (s[starts[1:]] - s[starts[:-1]] for s in sums)
+    return {"n_tokens": np.diff(starts), "n_known": known.astype(np.int64), "base_score": base_sum, "score": score_sum}
+
+
+def _before(count: np.ndarray, starts: np.ndarray, of_end: int) -> np.ndarray:
+    """Counts of the tokens before; before the first token of a text that is the end token."""
+    out = np.concatenate([[of_end], count[:-1]])[:len(count)]
+    out[starts[:-1]] = of_end
+    return out
 
+
+def _scorer(cells: CountFilter):
     def fn(text: pa.Array) -> dict:
         cur, prev, starts = token_stream(text)
         distinct, code = np.unique(cur, return_inverse=True)
-        held = cells.words(distinct)
-        count = held[code]
-        before = np.concatenate([cells.words(np.array([END])), count[:-1]])[:len(cur)]  # prev is the token before, or END
-        before[starts[:-1]] = cells.words(np.array([END]))[0]
-        base = np.log10((count + ADD) / mass)
-        mine = np.isin(group_of(cur), cells.seconds) if len(cells.seconds) < 1 << GROUP_BITS else np.ones(len(cur), bool)
-        first = np.isin(group_of(prev), cells.firsts) if len(cells.firsts) < 1 << GROUP_BITS else np.ones(len(cur), bool)
-        score = np.zeros(len(cur))
-        at = np.flatnonzero(mine & first)
-        for lo in range(0, len(at), 1 << 20):
-            i = at[lo:lo + (1 << 20)]
-            seen = cells.bigrams(prev[i], cur[i], np.minimum(before[i], count[i]))
-            p0 = (count[i] + ADD) / mass
-            score[i] = np.log10(np.where(before[i] > 0, (seen + MU * p0) / (before[i] + MU), p0))
-        lead = mine & (cells.firsts.start == 0)  # a second word counts for the base in one pass only
-        sums = [np.concatenate([[0], np.cumsum(x)]) for x in (np.where(lead, base, 0.0), score, lead & (count > 0))]
-        base_sum, score_sum, known = (s[starts[1:]] - s[starts[:-1]] for s in sums)
-        return {"p_tokens": np.diff(starts), "p_known": known.astype(np.int64), "p_base": base_sum, "p_score": score_sum}
+        count = cells.words(distinct)[code]
+        before = _before(count, starts, cells.words(np.array([END]))[0])
+        seen = np.zeros(len(cur))
+        for lo in range(0, len(cur), 1 << 20):
+            i = slice(lo, lo + (1 << 20))
+            seen[i] = cells.bigrams(prev[i], cur[i], np.minimum(before[i], count[i]))
+        return _sums(starts, count, before, seen, cells.total, cells.distinct)
 
     return fn
 
 
+# ---------------------------------------------------------------- cells that are not broadcast
+
+def _batches(rows: DataFrame) -> DataFrame:
+    """``batch, rows``: the rows in numbered Arrow streams of about ``SMALL_CHUNK`` bytes of text, compressed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            done = 0
+            for text in text_chunks(batch.column("text"), SMALL_CHUNK):
+                if len(text):
+                    held = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(held, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                        out.write_batch(batch.slice(done, len(text)))
+                    yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([held.getvalue().to_pybytes()], pa.binary())],
+                                                     names=["batch", "rows"])
+                    number, done = number + 1, done + len(text)
+        give_back()
+
+    return rows.mapInArrow(run, "batch long, rows binary")
+
+
+def _unpacked(held: bytes) -> pa.Table:
+    return pa.ipc.open_stream(held).read_all().combine_chunks()
+
+
+def _text(table: pa.Table) -> pa.Array:
+    return table["text"].combine_chunks()
+
+
+def _with_counts(keys: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in rising order and how often each occurs in training text."""
+    distinct = np.unique(keys)
+    held, n = np.unique(keys[trains], return_counts=True)
+    out = np.zeros(len(distinct), np.uint32)
+    out[np.searchsorted(distinct, held)] = n
+    return distinct, out
+
+
+def _narrow(n: np.ndarray) -> bytes:
+    """Whole numbers in one byte each or, where one does not fit, in four."""
+    return n.astype(np.uint8 if n.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def _wide(blob: bytes, many: int) -> np.ndarray:
+    return np.frombuffer(blob, np.uint8 if len(blob) == many else np.uint32).astype(np.int64)
+
+
+def _questions(batches: DataFrame, sub_bits: int) -> DataFrame:
+    """``kind, cell, batch, keys, counts``: as ``_count_rows``, of all texts, counted in training ones."""
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("cell", T.IntegerType()), T.StructField("batch", T.LongType()),
+                           T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        for frame in frames:
+            for number, held in zip(frame.column("batch").to_pylist(), frame.column("rows"), strict=True):
+                table = _unpacked(held.as_py())
+                cur, prev, starts = token_stream(_text(table))
+                trains = np.repeat(~table["held_out"].to_numpy().astype(bool), np.diff(starts))
+                rows: list[tuple] = []
+                word, n = _with_counts(cur, trains)
+                for c, lo, hi in _runs((word >> np.uint64(64 - GROUP_BITS - sub_bits)).astype(np.int64)):
+                    rows.append((0, c, number, word[lo:hi].tobytes(), _narrow(n[lo:hi])))
+                pair, n = _with_counts(bigram_key(prev, cur, sub_bits), trains)
+                for c, lo, hi in _runs((pair >> np.uint64(KEY_BITS)).astype(np.int64)):
+                    rows.append((1, c, number, pack48(pair[lo:hi] & MASK), _narrow(n[lo:hi])))
+                yield pa.RecordBatch.from_arrays([pa.array(list(col), t) for col, t in zip(
+                    zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=schema.names)
+                del table, cur, prev, trains, word, pair, n, rows
+        give_back()
+
+    return batches.mapInArrow(run, schema)
+
+
+def _levels(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What the cell's filter says of each key, those that were never counted too."""
+    out = np.zeros(len(keys), np.uint8)
+    if not n.any():
+        return out
+    on, bits = _filter_of(keys[n > 0], n[n > 0])
+    alive = np.arange(len(keys))
+    for q in range(1, MOST_LEVEL + 1):
+        first, stride = _steps(keys[alive], q)
+        for i in range(PROBES):
+            hit = on[_place(first, stride, i, np.uint64(bits))]
+            alive, first, stride = alive[hit], first[hit], stride[hit]
+        out[alive] = q
+        if not len(alive):
+            break
+    return out
+
+
+def _answers(asked: DataFrame) -> DataFrame:
+    """``batch, kind, cell, many, answer``: for each of the keys asked its count (words) or level (bigrams);
+    ``distinct, total`` of a cell of words stand in one of its rows."""
+    schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("cell", T.IntegerType()),
+                           T.StructField("many", T.IntegerType()), T.StructField("answer", T.BinaryType()),
+                           T.StructField("distinct", T.LongType()), T.StructField("total", T.LongType())])
+
+    def build(table: pa.Table) -> pa.Table:
+        kind, rows = table["kind"][0].as_py(), len(table)
+        held = [np.frombuffer(b, np.uint64) if kind == 0 else unpack48(b) for b in table["keys"].to_pylist()]
+        many = np.array([len(h) for h in held])
+        keys = np.concatenate(held)
+        del held
+        n = np.concatenate([_wide(b, m) for b, m in zip(table["counts"].to_pylist(), many, strict=True)])
+        order = np.argsort(keys)
+        new = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
+        keys, n = keys[order[new]], np.add.reduceat(n[order], np.flatnonzero(new))
+        said = np.minimum(n, 0xFFFFFFFF).astype(np.uint32) if kind == 0 else _levels(keys, n)
+        out = np.empty(len(order), said.dtype)
+        out[order] = said[np.cumsum(new) - 1]
+        ends = np.cumsum(many)
+        answers = [_narrow(out[hi - m:hi]) for m, hi in zip(many, ends, strict=True)]
+        sums = [[int(v)] + [0] * (rows - 1) for v in (((n > 0).sum(), n.sum()) if kind == 0 else (0, 0))]
+        return pa.Table.from_arrays([table["batch"].combine_chunks(), table["kind"].combine_chunks(), table["cell"].combine_chunks(),
+                                     pa.array(many, pa.int32()), pa.array(answers, pa.binary()),
+                                     *[pa.array(v, pa.int64()) for v in sums]], names=schema.names)
+
+    return asked.groupBy("kind", "cell").applyInArrow(build, schema)
+
+
+def _score_by_exchange(rows: DataFrame, sub_bits: int) -> tuple[DataFrame, int]:
+    """The scored rows and the training tokens."""
+    batches = stored(_batches(rows), "lm-batches")
+    answers = stored(_answers(_questions(batches, sub_bits)), "lm-answers")
+    sums = answers.agg(F.sum("distinct"), F.sum("total")).first()
+    distinct, total = int(sums[0] or 0), int(sums[1] or 0)
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["held_out"], T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+                           T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        table = _unpacked(left["rows"][0].as_py())
+        cur, prev, starts = token_stream(_text(table))
+        order = np.lexsort((right["cell"].to_numpy(), right["kind"].to_numpy()))
+        right = right.take(pa.array(order))
+        said = [_wide(b, m) for b, m in zip(right["answer"].to_pylist(), right["many"].to_pylist(), strict=True)]
+        words = int((right["kind"].to_numpy() == 0).sum())
+        distinct_words, code = np.unique(cur, return_inverse=True)
+        of_word = np.concatenate(said[:words])
+        count = of_word[code]
+        before = _before(count, starts, int(of_word[np.searchsorted(distinct_words, END)]))
+        level = np.concatenate(said[words:])[np.unique(bigram_key(prev, cur, sub_bits), return_inverse=True)[1]]
+        seen = count_of(np.minimum(level, level_of(np.minimum(before, count))))
+        got = _sums(starts, count, before, seen, total, distinct)
+        return pa.table({"doc_id": table["doc_id"], "held_out": table["held_out"], **got}).cast(left_schema(table))
+
+    def left_schema(table: pa.Table) -> pa.Schema:
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+        return pa.schema([table.schema.field("doc_id"), table.schema.field("held_out"), *[pa.field(c, t) for c, t in kinds.items()]])
+
+    done = batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(score, schema)
+    return done, total
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_mod: int = 10,
                 max_broadcast: int = 256 << 20) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
@@ -260,44 +429,26 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train = rows.filter("not held_out").select("text")
     size = train.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     sub_bits = min(MOST_SUB_BITS, max(LEAST_SUB_BITS, (size // CELL_TEXT).bit_length() - GROUP_BITS))
+    done = None
+    if size <= TEXT_OF_CELLS * max_broadcast:
+        done, total = _score_by_broadcast(rows, train, sub_bits, max_broadcast)
+    if done is None:
+        done, total = _score_by_exchange(rows, sub_bits)
+    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def _score_by_broadcast(rows: DataFrame, train: DataFrame, sub_bits: int, max_broadcast: int) -> tuple[DataFrame | None, int]:
+    """The scored rows, None if the cells exceed ``max_broadcast`` bytes, and the training tokens."""
     cells = stored(_cells(_count_rows(train, sub_bits)), "lm-cells")
     sizes = cells.select("kind", "cell", "distinct", "total", "bits", F.length("blob").alias("bytes")).collect()
     total = sum(r["total"] for r in sizes if r["kind"] == 0)
     distinct = sum(r["distinct"] for r in sizes if r["kind"] == 0)
-    spark, groups = docs.sparkSession, 1 << GROUP_BITS
-    by_group = [[sum(r["bytes"] for r in sizes if r["kind"] == k and r["cell"] >> sub_bits == g) for g in range(groups)]
-                for k in (0, 1)]
-    blocks = 1
-    while blocks < groups and max(_block_bytes(by_group, blocks)) > max_broadcast:
-        blocks *= 2
-    width = groups // blocks
-    parts = [range(b * width, (b + 1) * width) for b in range(blocks)]
-    done = rows.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"),
-                       F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    fields = [T.StructField("p_tokens", T.LongType()), T.StructField("p_known", T.LongType()),
-              T.StructField("p_base", T.DoubleType()), T.StructField("p_score", T.DoubleType())]
-    for k, (firsts, seconds) in enumerate((a, b) for a in parts for b in parts):
-        word_groups = set(firsts) | set(seconds) | {int(group_of(np.array([END]))[0])}
-        group = F.shiftright("cell", sub_bits)
-        held = cells.filter(((F.col("kind") == 0) & group.isin(sorted(word_groups)))
-                            | ((F.col("kind") == 1) & group.isin(list(firsts))))
-        here = [r for r in sizes if r["cell"] >> sub_bits in (word_groups if r["kind"] == 0 else firsts)]
-        # at most max_broadcast bytes, fetched a partition at a time
-        shared = spark.sparkContext.broadcast(CountFilter(held.toLocalIterator(), here, firsts, seconds, total, distinct, sub_bits))
-        got = map_text(done, "text", fields, lambda shared=shared: _scorer(shared.value),
-                       keep=[c for c in done.columns if k + 1 < blocks * blocks or c != "text"], chunk=SMALL_CHUNK)
-        done = got.withColumns({"n_tokens": F.col("p_tokens"), "n_known": F.col("n_known") + F.col("p_known"),
-                                "base_score": F.col("base_score") + F.col("p_base"),
-                                "score": F.col("score") + F.col("p_score")}).drop(*[f.name for f in fields])
-        done = stored(done, f"lm-pass{k}")
-        shared.destroy()  # executors and their workers drop this block's cells
-    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-                       "base_score", "score")
-
-
-def _block_bytes(by_group: list[list[int]], blocks: int) -> list[int]:
-    """Bytes of the largest pass of each block: its bigrams and two blocks of words."""
-    width = len(by_group[0]) // blocks
-    words = [sum(by_group[0][b * width:(b + 1) * width]) for b in range(blocks)]
-    pairs = [sum(by_group[1][b * width:(b + 1) * width]) for b in range(blocks)]
-    return [p + w + (max(words) if blocks > 1 else 0) for p, w in zip(pairs, words, strict=True)]
+    if sum(r["bytes"] for r in sizes) > max_broadcast:
+        return None, total
+    # fetched a partition at a time
+    shared = rows.sparkSession.sparkContext.broadcast(CountFilter(cells.toLocalIterator(), sizes, total, distinct, sub_bits))
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
+              T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
+    done = stored(map_text(rows, "text", fields, lambda: _scorer(shared.value), keep=["doc_id", "held_out"], chunk=SMALL_CHUNK), "lm-scores")
+    shared.destroy()  # executors and their workers drop the cells
+    return done, total
