@@ -17,8 +17,9 @@
   bounds the overlap from above; only pairs that pass are intersected exactly.
 * Links within a large group are not enumerated: only connectivity is returned.
   First every member of a tile meets the tile's smallest node; tiles still
-  holding more than one component are then joined pair by pair, across components
-  only.  Every link between two components is therefore found.
+  holding more than one component are then compared pair by pair, across components
+  only, in numpy: blocks of bounded size of a tile's nodes outside its largest component
+  and of all its nodes.  Every link between two components is therefore found.
 """
 
 from __future__ import annotations
@@ -41,6 +42,9 @@ LEAST_BITS = 1024  # sets of up to as many shingles, most of them, have bitmaps
 SPARE = 3          # equal segments that partners have at least
 NODES_PER_CELL = 1024
 MAX_CELL_BITS = 16
+SIDE = 4096        # nodes of a side of a block of pairs
+PAIRS_AT_ONCE = 1 << 15  # of bitmaps
+FEW_PAIRS = 1 << 12      # compared in one expression
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -221,6 +225,111 @@ def _side(nodes: DataFrame, name: str) -> DataFrame:
     return nodes.select(F.col("node").alias(name), F.col("size").alias(f"{name}size"), F.col("bits").alias(f"{name}bits"))
 
 
+class _Nodes:
+    """Rows of a block: sizes, components and bitmaps, by the width of these."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.node, self.comp, self.size, self.main = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "comp", "size", "ismain"))
+        bits = batch.column("bits")
+        self.words, self.ends = bits.values.to_numpy().view(np.uint64), bits.offsets.to_numpy()
+
+    def maps(self, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Width, rows and bitmaps of the rows of each width."""
+        width = self.ends[rows + 1] - self.ends[rows]
+        for w in np.unique(width):
+            some = rows[width == w]
+            yield int(w), some, self.words[self.ends[some][:, None] + np.arange(w)]
+
+
+def _folded(maps: np.ndarray) -> np.ndarray:
+    half = maps.shape[1] // 2
+    return maps[:, :half] ^ maps[:, half:]
+
+
+def _near_pairs(nodes: _Nodes, outer: np.ndarray, inner: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Pairs of ``outer`` (outside the tile's main component) and ``inner`` rows of different components that may
+    link, as in ``_may_link``; two rows outside meet once."""
+    for wa, rows, left in nodes.maps(outer):
+        for wb, others, right in nodes.maps(inner):
+            if wa not in (wb, 2 * wb) and wb != 2 * wa:
+                continue  # sizes too far apart
+            a, b = left if wa <= wb else _folded(left), np.ascontiguousarray((right if wb <= wa else _folded(right)).T)
+            step = max(1, PAIRS_AT_ONCE // len(others))
+            for lo in range(0, len(rows), step):
+                mine = rows[lo:lo + step]
+                if len(mine) * len(others) <= FEW_PAIRS:
+                    differ = np.bitwise_count(a[lo:lo + step, None, :] ^ b.T[None, :, :]).sum(axis=2, dtype=np.int64)
+                else:
+                    differ = np.zeros((len(mine), len(others)), np.uint16 if len(b) <= 512 else np.uint32)
+                    for one, words in zip(a[lo:lo + step].T, b, strict=True):
+                        differ += np.bitwise_count(one[:, None] ^ words)
+                sa, sb = nodes.size[mine][:, None], nodes.size[others][None, :]
+                total = sa + sb
+                good = ((total - differ.astype(np.int64)) * (100 + percent) >= total * 2 * percent) & (np.minimum(sa, sb) * 100 >= np.maximum(sa, sb) * percent)
+                x, y = np.nonzero(good)
+                x, y = mine[x], others[y]
+                keep = (nodes.comp[x] != nodes.comp[y]) & (nodes.main[y] | (nodes.node[x] < nodes.node[y]))
+                yield np.column_stack([nodes.node[x[keep]], nodes.node[y[keep]]])
+
+
+def _across(open_rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` (a the smaller): pairs of nodes of a tile in different components that may link, repeated where they
+    share several tiles.  ``open_rows`` has ``tile, node, comp, main, outer, n, size, bits``; a tile of more than
+    ``SIDE`` nodes is dealt to blocks of (nodes outside the main component) x (all nodes)."""
+    parts = lambda c: F.ceil(F.col(c) / SIDE).cast("int")
+    rows = open_rows.select("tile", "node", "comp", "size", "bits", (F.col("comp") == F.col("main")).alias("ismain"),
+                            parts("outer").alias("outers"), parts("n").alias("inners"))
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    inner = rows.withColumns({"j": own("inners"), "side": F.lit(False)}).withColumn("i", upto("outers"))
+    outer = rows.filter("inners > 1 and not ismain").withColumns({"i": own("outers"), "side": F.lit(True)}).withColumn("j", upto("inners"))
+    rows = inner.unionByName(outer).withColumn("whole", F.col("inners") == 1).drop("outers", "inners")
+
+    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Of whole blocks, which lie one after the other."""
+        nodes = _Nodes(batch)
+        side, whole = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("side", "whole"))
+        key = np.column_stack([batch.column(c).to_numpy() for c in ("tile", "i", "j")])
+        ends = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+        found = [np.zeros((0, 2), np.int64)]
+        for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            at = np.arange(lo, hi)
+            outside = at[~nodes.main[at].astype(bool)] if whole[lo] else at[side[at]]
+            found += _near_pairs(nodes, outside, at[~side[at]], percent)
+        found = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        held: list[pa.RecordBatch] = []  # of the block that may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("tile", "i", "j")]
+            same = np.ones(batch.num_rows, bool)
+            for c, v in zip(("tile", "i", "j"), last, strict=True):
+                same &= batch.column(c).to_numpy() == v
+            begin = int(np.argmax(same))  # rows of a block lie together
+            if begin:
+                yield pairs(_joined([*held, batch.slice(0, begin)]))
+                held = [batch.slice(begin)]
+            else:
+                if held and [held[0].column(c)[0].as_py() for c in ("tile", "i", "j")] != last:
+                    yield pairs(_joined(held))
+                    held = []
+                held.append(batch)
+        if held:
+            yield pairs(_joined(held))
+        give_back()
+
+    by = ["tile", "i", "j"]
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 def _exact_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` that reach the threshold, by intersecting sorted arrays,
     which are made again from the texts of just these documents."""
@@ -282,16 +391,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     named = stored(members.filter("n > 2").join(label, "node", "left")
                    .select("tile", "node", F.coalesce("comp", "node").alias("comp")), "jaccard-named")
     per = named.groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("k"))
-    mixed = stored(per.groupBy("tile").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("most"))
-                   .filter("comps > 1").select("tile", F.col("most.comp").alias("main")), "jaccard-mixed")
+    mixed = stored(per.groupBy("tile").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("most"), F.sum("k").alias("n"))
+                   .filter("comps > 1").select("tile", F.col("most.comp").alias("main"), "n", (F.col("n") - F.col("most.k")).alias("outer")), "jaccard-mixed")
     open_rows = stored(named.join(mixed.hint("merge"), "tile").join(small, "node"), "jaccard-open")
-    a, b = (open_rows.select("tile", F.col("node").alias(x), F.col("comp").alias(f"{x}comp"), F.col("size").alias(f"{x}size"),
-                             F.col("bits").alias(f"{x}bits"), (F.col("comp") == F.col("main")).alias(f"{x}main")) for x in ("a", "b"))
     # a pair across components has a side outside the tile's largest one, which is large only
     # where its members are linked: the nodes outside meet all, and each other once
-    met = a.filter("not amain").join(b.hint("merge"), "tile").filter("acomp <> bcomp and (bmain or a < b)").filter(_may_link(percent))
-    across = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() \
-        .join(star.select("a", "b"), ["a", "b"], "left_anti")
+    across = _across(open_rows, percent).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
     across = stored(across, "jaccard-across")
     more = stored(_exact_links(across, texts, width, percent), "jaccard-more")
     if not more.isEmpty():
